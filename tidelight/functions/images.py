@@ -156,26 +156,25 @@ def vectorize(
 
 
 def luminance_expr(image: str = "image") -> Column:
-    """:func:`luminance` as a native expression over small BGR(A) or grey image structs.
+    """:func:`luminance` as a native expression over BGR(A) or grey image structs, without a Python worker.
 
-    Runs inside the JVM without a Python worker, for thumbnails and checks; it
-    takes the pixels byte by byte, so large rasters belong to :func:`vectorize`.
+    Higher-order functions are interpreted, so the Arrow stage wins on large rasters.
     """
     channels = F.col(f"{image}.nChannels")
     pixels = F.col(f"{image}.height") * F.col(f"{image}.width")
+    digits = F.regexp_extract_all(F.hex(F.col(f"{image}.data")), F.lit("(..)"), 1)
+    samples = F.transform(digits, lambda pair: F.conv(pair, 16, 10).cast("float"))
 
-    def sample(pixel: Column, channel: int) -> Column:
-        at = pixel * channels + F.when(channels >= 3, channel).otherwise(0)
-        byte = F.conv(F.hex(F.substring(F.col(f"{image}.data"), at + 1, F.lit(1))), 16, 10)
-        return byte.cast("float")
+    def mixed(sample: Column, first: Column) -> Column:
+        def weighed(weight: float, channel: int) -> Column:
+            return F.lit(weight).cast("float") * F.get(sample, first + F.when(channels >= 3, channel).otherwise(0))
 
-    def mixed(pixel: Column) -> Column:
-        red = F.lit(LUMINANCE_RED).cast("float") * sample(pixel, 2)
-        green = F.lit(LUMINANCE_GREEN).cast("float") * sample(pixel, 1)
-        blue = F.lit(LUMINANCE_BLUE).cast("float") * sample(pixel, 0)
-        return ((red + green + blue).cast("float") / F.lit(255.0)).cast("float")
+        total = weighed(LUMINANCE_RED, 2) + weighed(LUMINANCE_GREEN, 1) + weighed(LUMINANCE_BLUE, 0)
+        return (total / F.lit(255.0).cast("float")).cast("float")
 
-    return F.transform(F.sequence(F.lit(0), pixels - 1), mixed)
+    starts = F.sequence(F.lit(0), (pixels - 1) * channels, channels)
+    # The one-element array binds the samples to a variable, so they are made once per image.
+    return F.transform(F.array(samples), lambda s: F.transform(starts, lambda at: mixed(s, at)))[0]
 
 
 # ---- random distortions for training ---------------------------------------

@@ -30,8 +30,8 @@ def label_error(label: Column, file_name: Column) -> Column:
     bad_label = F.concat(
         F.lit("Unsupported raw label '"), F.coalesce(label, F.lit("null")), F.lit("' for file: "), file_name
     )
-    unresolved = target_label(label, file_name).isNull()
-    return F.when(unresolved & (label == "PNEUMONIA"), no_subtype).when(unresolved, bad_label)
+    reason = F.when(label == "PNEUMONIA", no_subtype).otherwise(bad_label)
+    return F.when(target_label(label, file_name).isNull(), reason)
 
 
 def _map_literal(entries: Mapping) -> Column:
@@ -79,7 +79,11 @@ def with_label_id(
 
 
 def with_target_class(df: DataFrame, class_ids: Mapping[str, int] = CLASS_IDS) -> DataFrame:
-    """Add ``targetLabel``, ``labelId`` and ``labelError`` to rows with ``label`` and ``fileName``."""
+    """Add ``targetLabel``, ``labelId`` and ``labelError`` to rows with ``label`` and ``fileName``.
+
+    ``labelError`` is set exactly where ``labelId`` is NULL. Filter on the id:
+    a pushed-down filter repeats what its column is made of, and the error text is long.
+    """
     label, name = F.col("label"), F.col("fileName")
     return df.withColumn("targetLabel", target_label(label, name)).withColumns(
         {

@@ -39,16 +39,28 @@ def with_path_columns(df: DataFrame, path_col: str = "path") -> DataFrame:
     )
 
 
-def is_image(extensions: Sequence[str] = IMAGE_EXTENSIONS) -> Column:
-    return F.col("extension").isin([e.lower() for e in extensions])
+def _any_of(words: Sequence[str]) -> str:
+    return "|".join(f"\\Q{word}\\E" for word in words)
 
 
-def is_labeled(splits: Sequence[str] = SPLITS, labels: Sequence[str] = CATEGORIES) -> Column:
-    return (F.size("segments") >= 3) & F.col("split").isin(list(splits)) & F.col("label").isin(list(labels))
+def is_image(path: Column, extensions: Sequence[str] = IMAGE_EXTENSIONS) -> Column:
+    """Whether :func:`extension_of` the file is one of the given, told from the path alone.
 
+    A single pattern over the scanned column: the filter needs none of the
+    derived columns, so pushing it below them does not split the path again.
+    """
+    return path.rlike(rf"(?:^|[./\\])(?i:{_any_of(extensions)})$")
+
+
+def is_labeled(path: Column, splits: Sequence[str] = SPLITS, labels: Sequence[str] = CATEGORIES) -> Column:
+    """Whether the path ends in ``split/label/file`` with an allowed split and label."""
+    return path.rlike(rf"(?:^|[/\\])(?:{_any_of(splits)})[/\\](?:{_any_of(labels)})[/\\][^/\\]*$")
 
-def keep_images(df: DataFrame, extensions: Sequence[str] = IMAGE_EXTENSIONS) -> DataFrame:
-    return df.where(is_image(extensions))
+
+def keep_images(
+    df: DataFrame, extensions: Sequence[str] = IMAGE_EXTENSIONS, path_col: str = "path"
+) -> DataFrame:
+    return df.where(is_image(F.col(path_col), extensions))
 
 
 def keep_labeled(
@@ -56,8 +68,10 @@ def keep_labeled(
     splits: Sequence[str] = SPLITS,
     labels: Sequence[str] = CATEGORIES,
     extensions: Sequence[str] = IMAGE_EXTENSIONS,
+    path_col: str = "path",
 ) -> DataFrame:
-    return df.where(is_image(extensions) & is_labeled(splits, labels))
+    path = F.col(path_col)
+    return df.where(is_labeled(path, splits, labels) & is_image(path, extensions))
 
 
 def relative_target(mode: str) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidelight.defaults import PAGE_SIZE, QUARANTINE_HEAD
 from tidelight.functions.instants import epoch_us, floor_to, latency_seconds, latency_tenths
-from tidelight.operators.ordered import median_position, ordered_scan, with_row_index
+from tidelight.operators.latency import latency_histogram, median_latency
+from tidelight.operators.ordered import ordered_scan, with_row_index
 
 LATENCY = "latencySeconds"
 
@@ -50,16 +51,14 @@ def kpi_summary(predictions: DataFrame, rejected: DataFrame | None = None) -> Da
         parts = parts.unionByName(
             rejected.select(no_latency.alias("tenths"), F.lit(0).alias("hit"), F.lit(0).alias("good"))
         )
-    histogram = parts.groupBy("tenths").agg(
-        F.sum("good").alias("n"), F.sum("hit").alias("hits"), F.count(F.lit(1)).alias("all_rows")
+    histogram = latency_histogram(
+        parts, F.sum("good").alias("good"), F.sum("hit").alias("hits"), F.count(F.lit(1)).alias("rows")
     )
-    timed = ordered_scan(histogram.where("tenths IS NOT NULL"), "tenths", running=["n"], overall=["n"])
-    untimed = histogram.where("tenths IS NULL")
-    return timed.unionByName(untimed, allowMissingColumns=True).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("predictions"),
-        F.coalesce(F.sum("all_rows") - F.sum("n"), F.lit(0)).alias("rejected"),
-        F.try_divide(F.sum("hits"), F.sum("n")).alias("positiveRate"),
-        (median_position("tenths", "n") / 10).alias("medianLatency"),
+    return histogram.agg(
+        F.coalesce(F.sum("good"), F.lit(0)).alias("predictions"),
+        F.coalesce(F.sum("rows") - F.sum("good"), F.lit(0)).alias("rejected"),
+        F.try_divide(F.sum("hits"), F.sum("good")).alias("positiveRate"),
+        median_latency().alias("medianLatency"),
     )
 
 

@@ -29,21 +29,20 @@ def ordered_scan(
     previous: Sequence[str] = (),
     following: Sequence[str] = (),
     overall: Sequence[str] = (),
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Running totals and neighbour values along a LONG column.
 
-    ``df`` has at most one row per ``position``, and positions are multiples of
-    ``step``. For each column ``c`` named in the arguments the result gains
+    ``df`` has at most one row per ``position``. For each column ``c`` named in the arguments the result gains
 
     * ``c_run``  sum of ``c`` up to and including the row,
     * ``c_prev`` / ``c_next``  ``c`` of the neighbouring row (``c`` must not be NULL),
     * ``c_all``  sum of ``c`` over the table.
 
-    Stretches of ``STRETCH`` positions are scanned in parallel; ``levels`` says
-    how often the stretches are themselves grouped into stretches before the
-    last, unpartitioned window. With two levels and one-second positions that
-    window holds one row per 136 years.
+    Stretches of ``STRETCH`` steps are scanned in parallel; ``levels`` says how
+    often the stretches are themselves grouped into stretches before the last,
+    unpartitioned window. At one level and one-second steps that window holds
+    one row per 18 hours of data, at one-millisecond steps one per 65 seconds.
     """
     width = step * STRETCH
     if levels == 0 or width > _MAX_WIDTH:
@@ -73,7 +72,7 @@ def ordered_scan(
     )
     within = Window.partitionBy(stretch).orderBy(position)
     local = _scan_window(placed, within, running, previous, following, ())
-    joined = local.join(above, stretch)
+    joined = local.join(above, stretch, "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"{c}_run") + F.col(f"{c}_before")).alias(f"{c}_run") for c in running],

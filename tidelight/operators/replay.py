@@ -28,7 +28,10 @@ def emissions(
     ``unique_names`` puts a short hash of the path in front.
     """
     files = with_path_columns(df, path_col)
-    files = keep_labeled(files, splits, labels, extensions) if mode == "train" else keep_images(files, extensions)
+    if mode == "train":
+        files = keep_labeled(files, splits, labels, extensions, path_col)
+    else:
+        files = keep_images(files, extensions, path_col)
     target = relative_target(mode)
     if unique_names and mode == "infer":
         target = F.concat_ws("_", F.substring(F.md5(F.col(path_col)), 1, 8), target)

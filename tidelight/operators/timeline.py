@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelight.defaults import CHART_BUCKETS, RUN_GAP_SECONDS
@@ -17,11 +17,14 @@ from tidelight.functions.instants import (
     micros_in,
     type_of,
 )
-from tidelight.operators.ordered import median_position, ordered_scan, salted_lookup
+from tidelight.operators.latency import latency_histogram, median_latency
+from tidelight.operators.ordered import ordered_scan, salted_lookup
 
 # Steps of a filled gap that one generator row may emit.
 _FILL_BLOCK = 4_096
 _US_PER_SECOND = 1_000_000
+# Step for scans over distinct microseconds: a stretch then spans 65 seconds.
+_MILLISECOND = 1_000
 
 
 def queue_events(
@@ -49,7 +52,7 @@ def queue_changes(events: DataFrame) -> DataFrame:
     """Queue level after the last event of each distinct instant: ``(t, level)``."""
     kind = type_of(events, "t")
     net = events.groupBy(epoch_us(F.col("t")).alias("us")).agg(F.sum("delta").alias("net"))
-    scanned = ordered_scan(net, "us", running=["net"], levels=3)
+    scanned = ordered_scan(net, "us", _MILLISECOND, running=["net"])
     return scanned.select(from_epoch_us(F.col("us"), kind).alias("t"), F.col("net_run").alias("level"))
 
 
@@ -100,7 +103,7 @@ def event_gaps(df: DataFrame, ts: str) -> DataFrame:
     """Distinct instants with the seconds since the instant before: ``(ts, gapSeconds)``."""
     kind = type_of(df, ts)
     instants = df.na.drop(subset=[ts]).select(epoch_us(F.col(ts)).alias("us")).distinct()
-    scanned = ordered_scan(instants.withColumn("at", F.col("us")), "us", previous=["at"], levels=3)
+    scanned = ordered_scan(instants.withColumn("at", F.col("us")), "us", _MILLISECOND, previous=["at"])
     gap = (F.col("us") - F.col("at_prev")) / F.lit(1_000_000.0)
     return scanned.select(from_epoch_us(F.col("us"), kind).alias(ts), gap.alias("gapSeconds"))
 
@@ -171,27 +174,26 @@ def last_run_kpis(
     gap_seconds: float = RUN_GAP_SECONDS,
 ) -> DataFrame:
     """Volume, spans, rates and median latency of the newest run; spans count at least one second."""
-    tenths = (
-        last_run_rows(df, processed, gap_seconds)
-        .groupBy(latency_tenths(F.col(deposited), F.col(processed)).alias("tenths"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(epoch_us(F.col(deposited))).alias("d0"),
-            F.max(epoch_us(F.col(deposited))).alias("d1"),
-            F.max(epoch_us(F.col(processed))).alias("p1"),
-        )
+    tenths = latency_tenths(F.col(deposited), F.col(processed))
+    rows = last_run_rows(df, processed, gap_seconds).select(
+        tenths.alias("tenths"), epoch_us(F.col(deposited)).alias("d"), epoch_us(F.col(processed)).alias("p")
+    )
+    histogram = latency_histogram(
+        rows,
+        F.count(F.lit(1)).alias("n"),
+        F.min("d").alias("d0"),
+        F.max("d").alias("d1"),
+        F.max("p").alias("p1"),
     )
-    timed = ordered_scan(tenths.where("tenths IS NOT NULL"), "tenths", running=["n"], overall=["n"])
-    untimed = tenths.where("tenths IS NULL")
 
-    def seconds(end: str, start: str):
+    def seconds(end: str, start: str) -> Column:
         return F.greatest((F.max(end) - F.min(start)) / F.lit(1_000_000.0), F.lit(1.0))
 
-    facts = timed.unionByName(untimed, allowMissingColumns=True).agg(
+    facts = histogram.agg(
         F.sum("n").alias("images"),
         seconds("d1", "d0").alias("depositSeconds"),
         seconds("p1", "d0").alias("totalSeconds"),
-        (median_position("tenths", "n") / 10).alias("medianLatency"),
+        median_latency().alias("medianLatency"),
     )
     return facts.withColumns(
         {

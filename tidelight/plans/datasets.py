@@ -14,8 +14,8 @@ from tidelight.plans.catalog import Catalog
 
 PLANS = Catalog()
 
-# Validation target of the plans; classes without enough train rows give what they have.
-_TARGET = 25
+# Validation target of the plans.
+_TARGET = 100
 
 
 def pixel_weights(classes: int = 3) -> np.ndarray:
@@ -116,7 +116,7 @@ def rebalance_shortfall(spark, sf_dir):
 @PLANS.add(f"""WITH {_REBALANCED} SELECT "sourcePath", "labelId", split FROM rebalanced""")
 def val_rebalance(spark, sf_dir):
     rows = i.features(spark, sf_dir)
-    return dataset.rebalance_validation(rows, _TARGET, on_shortfall="take_all").select("sourcePath", "labelId", "split")
+    return dataset.rebalance_validation(rows, _TARGET).select("sourcePath", "labelId", "split")
 
 
 def _moved(spark, sf_dir):
@@ -247,7 +247,7 @@ def evaluation(spark, sf_dir):
 @PLANS.add()
 def trained_classifier(spark, sf_dir):
     """Fit on the rebalanced train split with class weights, score the test split with the fitted model."""
-    rows = dataset.rebalance_validation(i.features(spark, sf_dir), _TARGET, on_shortfall="take_all")
+    rows = dataset.rebalance_validation(i.features(spark, sf_dir), _TARGET)
     parts = dataset.split_frames(rows)
     model = training.train_classifier(parts["train"], max_iter=20)
     return training.evaluate(score(parts["test"], training.as_predictor(model), 8, 8))
