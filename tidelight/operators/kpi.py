@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelight.defaults import PAGE_SIZE, QUARANTINE_HEAD
 from tidelight.functions.instants import epoch_us, floor_to, latency_seconds, latency_tenths
-from tidelight.operators.latency import latency_histogram, median_latency
+from tidelight.operators.latency import latency_figures
 from tidelight.operators.ordered import ordered_scan, with_row_index
 
 LATENCY = "latencySeconds"
@@ -51,14 +51,9 @@ def kpi_summary(predictions: DataFrame, rejected: DataFrame | None = None) -> Da
         parts = parts.unionByName(
             rejected.select(no_latency.alias("tenths"), F.lit(0).alias("hit"), F.lit(0).alias("good"))
         )
-    histogram = latency_histogram(
-        parts, F.sum("good").alias("good"), F.sum("hit").alias("hits"), F.count(F.lit(1)).alias("rows")
-    )
-    return histogram.agg(
-        F.coalesce(F.sum("good"), F.lit(0)).alias("predictions"),
-        F.coalesce(F.sum("rows") - F.sum("good"), F.lit(0)).alias("rejected"),
-        F.try_divide(F.sum("hits"), F.sum("good")).alias("positiveRate"),
-        median_latency().alias("medianLatency"),
+    sums = {"predictions": F.col("good"), "rejected": 1 - F.col("good"), "hits": F.col("hit")}
+    return latency_figures(parts, sums, {}).select(
+        "predictions", "rejected", F.try_divide("hits", "predictions").alias("positiveRate"), "medianLatency"
     )
 
 
@@ -114,7 +109,8 @@ def page(
     shown = existing(df, columns) if columns else df.columns
     backwards = -floor_to(epoch_us(F.col(ts)), bucket_us)
     slots = df.groupBy(backwards.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    total = slots.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    timed_rows = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("n"))), F.lit(0))
+    total, known = slots.agg(F.coalesce(F.sum("n"), F.lit(0)), timed_rows).first()
     pages = max(1, math.ceil(total / size))
     start = (min(max(number, 1), pages) - 1) * size
     stop = min(start + size, total)
@@ -125,10 +121,9 @@ def page(
         F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.min(F.col("n_run") - F.col("n")).alias("before")
     ).first()
     if span.lo is None:  # nothing but rows without a time: they come last
-        narrowed, skip = df, start
+        narrowed, skip = df.where(F.col(ts).isNull()), start - known
     else:
         timed = (epoch_us(F.col(ts)) >= -span.hi) & (epoch_us(F.col(ts)) < -span.lo + bucket_us)
-        known = slots.where("slot IS NOT NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         narrowed = df.where(timed | F.col(ts).isNull()) if stop > known else df.where(timed)
         skip = start - span.before
     if skip + size <= top_rows:

@@ -43,6 +43,9 @@ def ordered_scan(
     often the stretches are themselves grouped into stretches before the last,
     unpartitioned window. At one level and one-second steps that window holds
     one row per 18 hours of data, at one-millisecond steps one per 65 seconds.
+
+    ``df`` is used twice. When it has columns besides those named here, the two
+    uses read different columns and share no shuffle: settle it first.
     """
     width = step * STRETCH
     if levels == 0 or width > _MAX_WIDTH:
@@ -68,17 +71,17 @@ def ordered_scan(
         *[(F.col(f"{c}_run") - F.col(c)).alias(f"{c}_before") for c in running],
         *[F.col(f"{c}_last_prev").alias(f"{c}_before_prev") for c in previous],
         *[F.col(f"{c}_first_next").alias(f"{c}_after_next") for c in following],
-        *[F.col(f"{c}_all").alias(f"{c}_everywhere") for c in overall],
+        *[f"{c}_all" for c in overall],
     )
     within = Window.partitionBy(stretch).orderBy(position)
-    local = _scan_window(placed, within, running, previous, following, ())
+    local = _scan_window(placed, within, running, previous, following)
     joined = local.join(above, stretch, "left")
     return joined.select(
         *df.columns,
         *[(F.col(f"{c}_run") + F.col(f"{c}_before")).alias(f"{c}_run") for c in running],
         *[F.coalesce(f"{c}_prev", f"{c}_before_prev").alias(f"{c}_prev") for c in previous],
         *[F.coalesce(f"{c}_next", f"{c}_after_next").alias(f"{c}_next") for c in following],
-        *[F.col(f"{c}_everywhere").alias(f"{c}_all") for c in overall],
+        *[f"{c}_all" for c in overall],
     )
 
 
@@ -88,7 +91,7 @@ def _scan_window(
     running: Sequence[str],
     previous: Sequence[str],
     following: Sequence[str],
-    overall: Sequence[str],
+    overall: Sequence[str] = (),
 ) -> DataFrame:
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

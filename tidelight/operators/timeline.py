@@ -17,8 +17,9 @@ from tidelight.functions.instants import (
     micros_in,
     type_of,
 )
-from tidelight.operators.latency import latency_histogram, median_latency
+from tidelight.operators.latency import latency_figures
 from tidelight.operators.ordered import ordered_scan, salted_lookup
+from tidelight.session import settle
 
 # Steps of a filled gap that one generator row may emit.
 _FILL_BLOCK = 4_096
@@ -87,7 +88,8 @@ def events_per_bucket(
 ) -> DataFrame:
     """Rows per tumbling bucket, zero-filled, for the newest ``last`` buckets."""
     kind, width = type_of(df, ts), micros_in(bucket)
-    counts = (
+    # Written once: the grid's bounds and the counts come from one scan of ``df``.
+    counts = settle(
         df.na.drop(subset=[ts]).groupBy(bucket_us(F.col(ts), width).alias("us")).agg(F.count(F.lit(1)).alias("n"))
     )
     span = counts.agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
@@ -116,7 +118,8 @@ def _run_buckets(df: DataFrame, ts: str, gap_seconds: float) -> DataFrame:
     """
     gap = int(gap_seconds * _US_PER_SECOND)
     us = epoch_us(F.col(ts))
-    buckets = (
+    # Written once: several steps read these few rows, none of them ``df`` again.
+    buckets = settle(
         df.na.drop(subset=[ts])
         .groupBy(floor_to(us, gap).alias("bucket"))
         .agg(F.min(us).alias("first"), F.max(us).alias("last"), F.count(F.lit(1)).alias("n"))
@@ -178,22 +181,18 @@ def last_run_kpis(
     rows = last_run_rows(df, processed, gap_seconds).select(
         tenths.alias("tenths"), epoch_us(F.col(deposited)).alias("d"), epoch_us(F.col(processed)).alias("p")
     )
-    histogram = latency_histogram(
-        rows,
-        F.count(F.lit(1)).alias("n"),
-        F.min("d").alias("d0"),
-        F.max("d").alias("d1"),
-        F.max("p").alias("p1"),
+    figures = latency_figures(
+        rows, {"images": F.lit(1)}, {"firstIn": -F.col("d"), "lastIn": F.col("d"), "lastOut": F.col("p")}
     )
 
-    def seconds(end: str, start: str) -> Column:
-        return F.greatest((F.max(end) - F.min(start)) / F.lit(1_000_000.0), F.lit(1.0))
+    def seconds_until(end: str) -> Column:
+        return F.greatest((F.col(end) + F.col("firstIn")) / F.lit(1_000_000.0), F.lit(1.0))
 
-    facts = histogram.agg(
-        F.sum("n").alias("images"),
-        seconds("d1", "d0").alias("depositSeconds"),
-        seconds("p1", "d0").alias("totalSeconds"),
-        median_latency().alias("medianLatency"),
+    facts = figures.select(
+        "images",
+        seconds_until("lastIn").alias("depositSeconds"),
+        seconds_until("lastOut").alias("totalSeconds"),
+        "medianLatency",
     )
     return facts.withColumns(
         {

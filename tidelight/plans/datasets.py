@@ -160,7 +160,7 @@ def reassembled_counts(spark, sf_dir):
     return dataset.split_class_counts(whole)
 
 
-@PLANS.add(f"""WITH {i.OUTCOMES} SELECT "sourcePath", len(features) AS actual, 64 AS expected FROM outcomes
+@PLANS.add(f"""WITH {i.OUTCOMES} SELECT "sourcePath", CAST(len(features) AS INT) AS actual, 64 AS expected FROM outcomes
 WHERE len(features) <> 64""")
 def feature_violations(spark, sf_dir):
     return dataset.feature_violations(i.as_outcomes(i.features(spark, sf_dir)))
