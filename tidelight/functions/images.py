@@ -36,14 +36,30 @@ def _cubic(x: np.ndarray) -> np.ndarray:
     return np.where(x <= 1, near, np.where(x < 2, far, 0.0))
 
 
-@lru_cache(maxsize=64)
-def resample_weights(source: int, target: int) -> np.ndarray:
-    """Weights (target x source) of bicubic resampling, widened to an average when shrinking."""
+@lru_cache(maxsize=256)
+def resample_bands(source: int, target: int) -> tuple[tuple[int, np.ndarray], ...]:
+    """Per target position the first source position and the weights of bicubic resampling.
+
+    When shrinking, the filter widens to an average; it still spans only a few
+    source positions, so a dense weight matrix would mostly multiply by zero.
+    """
     scale = source / target
     reach = max(scale, 1.0)
-    centers = (np.arange(target) + 0.5) * scale
-    weights = _cubic((np.arange(source) + 0.5 - centers[:, None]) / reach)
-    return (weights / weights.sum(axis=1, keepdims=True)).astype(np.float32)
+    bands = []
+    for center in (np.arange(target) + 0.5) * scale:
+        low = max(0, int(np.floor(center - 2 * reach)))
+        high = min(source, int(np.ceil(center + 2 * reach)))
+        weights = _cubic((np.arange(low, high) + 0.5 - center) / reach)
+        bands.append((low, weights / weights.sum()))
+    return tuple(bands)
+
+
+def _resample_rows(rows: np.ndarray, target: int) -> np.ndarray:
+    """(source, n) to (target, n)."""
+    out = np.empty((target, rows.shape[1]))
+    for at, (low, weights) in enumerate(resample_bands(rows.shape[0], target)):
+        out[at] = weights @ rows[low : low + len(weights)].astype(np.float64)
+    return out
 
 
 def resample(raster: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -51,8 +67,9 @@ def resample(raster: np.ndarray, height: int, width: int) -> np.ndarray:
     if raster.shape[:2] == (height, width):
         return raster
     rows, columns, channels = raster.shape
-    tall = resample_weights(rows, height) @ raster.reshape(rows, columns * channels).astype(np.float32)
-    out = np.matmul(resample_weights(columns, width), tall.reshape(height, columns, channels))
+    tall = _resample_rows(raster.reshape(rows, -1), height).reshape(height, columns, channels)
+    across = _resample_rows(tall.transpose(1, 0, 2).reshape(columns, -1), width)
+    out = across.reshape(width, height, channels).transpose(1, 0, 2)
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 

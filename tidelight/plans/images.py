@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelight.functions.images import augment, luminance_expr, vectorize
+from tidelight.operators.dataset import rebalance_validation, split_class_counts
 from tidelight.operators.outcomes import train_outcomes
 from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
+from tidelight.session import settle
 from tidelight.sources.files import empty_files, image_scan, landing_files
 
 PLANS = Catalog()
@@ -38,28 +40,96 @@ def luminance_native(spark, sf_dir):
     return by_pixel(images.withColumn("features", luminance_expr()), "sourcePath")
 
 
+# Bicubic resampling of each whole document, spelled out per pixel. `inner` is the size after
+# scaling and `crop` the part that stays; black margins add nothing to the sum of levels.
+def _resized_sql(inner_h: str, inner_w: str) -> str:
+    def taps(kind: str, source: str, target: str, crop: str) -> str:
+        x = "abs((i + 0.5 - (j + 0.5) * scale) / reach)"
+        return f"""{kind}_sizes AS (SELECT DISTINCT {source} AS source, {target} AS target, {crop} AS crop FROM shapes),
+{kind}_slots AS (SELECT *, source / target AS scale, greatest(source / target, 1.0) AS reach,
+  unnest(range(crop, crop + least(target, 32))) AS j FROM {kind}_sizes),
+{kind}_near AS (SELECT *, unnest(range(greatest(0, CAST(floor((j + 0.5) * scale - 2 * reach) AS INT)),
+  least(source, CAST(ceil((j + 0.5) * scale + 2 * reach) AS INT)))) AS i FROM {kind}_slots),
+{kind}_raw AS (SELECT *, {x} AS x FROM {kind}_near),
+{kind}_weight AS (SELECT *, CASE WHEN x <= 1 THEN 1.5 * x * x * x - 2.5 * x * x + 1
+  WHEN x < 2 THEN -0.5 * (x * x * x - 5 * x * x + 8 * x - 4) ELSE 0 END AS w FROM {kind}_raw),
+{kind}_taps AS (SELECT source, target, j, i, w / sum(w) OVER (PARTITION BY source, target, j) AS w FROM {kind}_weight)"""
+
+    return f"""WITH texts AS (SELECT doc_id, hex(encode(text)) AS digits,
+  greatest(1, CAST(ceil(octet_length(encode(text)) / 64.0) AS INT)) AS h FROM documents),
+sized AS (SELECT doc_id, h, CAST(greatest(1, {inner_h}) AS INT) AS ih, CAST(greatest(1, {inner_w}) AS INT) AS iw
+  FROM texts),
+shapes AS (SELECT *, greatest(0, (ih - 32) // 2) AS top, greatest(0, (iw - 32) // 2) AS lft FROM sized),
+pairs AS (SELECT doc_id, regexp_extract_all(rpad(digits, h * 128, '20'), '..') AS p FROM texts),
+cells AS (SELECT doc_id, generate_subscripts(p, 1) - 1 AS n, CAST('0x' || unnest(p) AS INT) AS v FROM pairs),
+{taps("y", "h", "ih", "top")}, {taps("x", "64", "iw", "lft")},
+tall AS (SELECT doc_id, t.j AS y, n % 64 AS x, sum(v * t.w) AS v FROM cells JOIN shapes USING (doc_id)
+  JOIN y_taps t ON t.source = h AND t.target = ih AND t.i = n // 64 GROUP BY ALL),
+small AS (SELECT doc_id, y, t.j AS x, sum(v * t.w) AS v FROM tall JOIN shapes USING (doc_id)
+  JOIN x_taps t ON t.target = iw AND t.i = tall.x GROUP BY ALL)
+SELECT doc_id, 32 AS "featureWidth", 32 AS "featureHeight", true AS ok,
+  CAST(sum(round_even(greatest(0, least(255, v)), 0)) AS BIGINT) AS levels FROM small GROUP BY 1"""
+
+
+def _ratio_sql(pick: str) -> tuple[str, str]:
+    ratio = f"{pick}(32 / CAST(h AS DOUBLE), 32 / CAST(64 AS DOUBLE))"
+    return f"round_even(h * {ratio}, 0)", f"round_even(64 * {ratio}, 0)"
+
+
 def _resized(spark, sf_dir, mode):
-    done = vectorize(i.text_rasters(spark, sf_dir), size=32, mode=mode)
-    brightness = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x)
-    return done.select("doc_id", "featureWidth", "featureHeight", "ok", (brightness / F.size("features")).alias("mean"))
+    files = i.text_rasters(spark, sf_dir)
+    spread = files.repartition(parts) if (parts := i.few_files(spark, files)) else files
+    done = vectorize(spread, size=32, mode=mode)
+    levels = F.aggregate("features", F.lit(0).cast("long"), lambda acc, x: acc + F.rint(x * 255).cast("long"))
+    return done.select("doc_id", "featureWidth", "featureHeight", "ok", levels.alias("levels"))
 
 
-@PLANS.add()
+@PLANS.add(_resized_sql(*_ratio_sql("least")))
 def resized_fit(spark, sf_dir):
     """Whole documents as grey images, fitted on black."""
     return _resized(spark, sf_dir, "fit")
 
 
-@PLANS.add()
+@PLANS.add(_resized_sql(*_ratio_sql("greatest")))
 def resized_cover(spark, sf_dir):
     return _resized(spark, sf_dir, "cover")
 
 
-@PLANS.add()
+@PLANS.add(_resized_sql("32", "32"))
 def resized_scale(spark, sf_dir):
     return _resized(spark, sf_dir, "scale")
 
 
+_LANGS = ("de", "en", "es", "fr")
+
+
+@PLANS.add("""WITH rows AS (SELECT 'doc_' || doc_id AS path, list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS class,
+  CASE WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) IN ('0', '1') THEN 'test'
+       WHEN substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) = '2' THEN 'val' ELSE 'train' END AS split FROM documents),
+need AS (SELECT class, greatest(0, 100 - count(*) FILTER (WHERE split = 'val')) AS missing FROM rows GROUP BY 1),
+ranked AS (SELECT path, class, row_number() OVER (PARTITION BY class ORDER BY md5(path), path) AS rank
+  FROM rows WHERE split = 'train'),
+moved AS (SELECT path FROM ranked JOIN need USING (class) WHERE rank <= missing)
+SELECT CASE WHEN path IN (SELECT path FROM moved) THEN 'val' ELSE split END AS split, CAST(class AS INT) AS "labelId",
+  count(*) AS images FROM rows GROUP BY 1, 2""")
+def feature_store_rebalance(spark, sf_dir):
+    """Vectorise every document as an image into a feature store, then fill up the validation split.
+
+    The store is written once; the rebalance reads its key columns only.
+    """
+    files = i.text_rasters(spark, sf_dir, keep=("lang",))
+    spread = files.repartition(parts) if (parts := i.few_files(spark, files)) else files
+    digit = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
+    done = vectorize(spread, size=32, mode="fit").select(
+        F.concat(F.lit("doc_"), "doc_id").alias("sourcePath"),
+        F.when(digit.isin("0", "1"), "test").when(digit == "2", "val").otherwise("train").alias("split"),
+        (F.array_position(F.array(*map(F.lit, _LANGS)), F.col("lang")) - 1).cast("int").alias("labelId"),
+        "featureWidth", "featureHeight", "features",
+    )
+    store = settle(done)
+    return split_class_counts(rebalance_validation(store, 100, classes=range(4), on_shortfall="take_all"))
+
+
 @PLANS.add()
 def augmented_rows(spark, sf_dir):
     """Two distorted copies of every train vector."""

@@ -146,7 +146,13 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_rasters(table(spark, sf_dir, "embeddings"))
 
 
-def text_rasters(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
+def few_files(spark: SparkSession, df: DataFrame) -> int | None:
+    """How far to spread ``df`` before Python work; ``None`` when its files already keep all cores busy."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores if len(df.inputFiles()) < cores else None
+
+
+def text_rasters(spark: SparkSession, sf_dir: str, width: int = 64, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each whole document as a grey image: its UTF-8 bytes in rows of ``width``, the last row padded."""
     data = F.encode("text", "UTF-8")
     rows = F.greatest(F.lit(1), F.ceil(F.octet_length(data) / width)).cast("int")
@@ -159,7 +165,7 @@ def text_rasters(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame
         F.lit(0).alias("mode"),
         padded.alias("data"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", image.alias("image"))
+    return table(spark, sf_dir, "documents").select("doc_id", *keep, image.alias("image"))
 
 
 def png(width: int, height: int, rgb: bytes) -> bytes:
@@ -194,7 +200,8 @@ def image_tree(spark: SparkSession, sf_dir: str) -> str:
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["sourcePath"])
 
     source = rasters(spark, sf_dir).select("sourcePath", "label", "image.data")
-    source.mapInArrow(write, "sourcePath string").write.format("noop").mode("overwrite").save()
+    spread = source.repartition(parts) if (parts := few_files(spark, source)) else source
+    spread.mapInArrow(write, "sourcePath string").write.format("noop").mode("overwrite").save()
     return folder
 
 

@@ -70,14 +70,14 @@ def replay(plan: DataFrame, dest: str, interval_seconds: float = 0.0, partitions
     rows only. The driver just keeps time; executors copy.
     """
     spark = plan.sparkSession
+    top = plan.agg(F.max("batchNo")).first()[0]
+    if top is None:
+        raise ValueError("nothing to replay")
     written = work_folder(spark, "replay")
     plan.repartition("batchNo").write.partitionBy("batchNo").parquet(written)
-    extent = spark.read.parquet(written).agg(F.max("batchNo").alias("top")).first()
-    if extent.top is None:
-        raise ValueError("nothing to replay")
     workers = partitions or spark.sparkContext.defaultParallelism
     emitted = 0
-    for number in range(int(extent.top) + 1):
+    for number in range(int(top) + 1):
         if number and interval_seconds > 0:
             time.sleep(interval_seconds)
         emitted += deposit(spark.read.parquet(f"{written}/batchNo={number}"), dest, workers)
