@@ -6,10 +6,11 @@ import pytest
 from tidelight import schemas
 from tidelight.defaults import UNDECODABLE, StreamConfig
 from tidelight.functions.scoring import linear_model
+from tidelight.functions.storage import locate
 from tidelight.operators.batches import bench_summary
 from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans.inputs import png
-from tidelight.sinks.deposit import deposit, locate, replay
+from tidelight.sinks.deposit import deposit, replay
 from tidelight.sinks.tables import append_batch
 from tidelight.sources import tables
 from tidelight.sources.files import empty_files, file_tree, landing_files

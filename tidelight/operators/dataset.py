@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelight.defaults import CLASS_IDS, SAMPLE_SEED, TRAIN_BATCH_SIZE, VAL_TARGET_PER_CLASS
 from tidelight.operators.ordered import with_row_index
-from tidelight.session import broadcast_if_small
+from tidelight.session import broadcast_if_small, settle
 
 DEFAULT_CLASSES = tuple(sorted(CLASS_IDS.values()))
 
@@ -187,8 +187,9 @@ def rebalance_validation(
 
     Rows of ``val`` and ``test`` keep their split. The sample is the head of the
     hash order, so one cut-off per class decides for every row in place: the
-    wide rows are neither shuffled nor joined by key. With
-    ``on_shortfall="take_all"`` a class that is too small gives what it has.
+    wide rows are neither shuffled nor joined by key. The cut-offs are found at
+    once and written down, so later uses of the result do not repeat the search.
+    With ``on_shortfall="take_all"`` a class that is too small gives what it has.
     """
     need = val_missing(df, target, classes, label, split)
     if on_shortfall == "error":
@@ -207,7 +208,7 @@ def rebalance_validation(
     few = len(classes) <= MAX_CLASSES if classes is not None else _is_few(class_ids(df, label))
     train = df.where(F.col(split) == "train")
     chosen = sample_per_class(train, need.select(label, asked.alias("need")), key, label, seed, few)
-    cut = chosen.groupBy(label).agg(F.max(F.struct("hash", key)).alias("_cut"))
+    cut = settle(chosen.groupBy(label).agg(F.max(F.struct("hash", key)).alias("_cut")))
     marked = df.join(F.broadcast(cut) if few else cut, label, "left")
     moves = (F.col(split) == "train") & (F.struct(sample_key(key, seed), F.col(key)) <= F.col("_cut"))
     changed = F.when(moves, "val").otherwise(F.col(split))

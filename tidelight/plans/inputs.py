@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelight.session import work_folder
-from tidelight.sinks.deposit import locate
+from tidelight.functions.storage import locate
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ from tidelight.sources.tables import predictions as read_predictions
 from tidelight.sources.tables import rejected as read_rejected
 from tidelight.streaming.ingest import start_infer, start_scoring
 from tidelight.streaming.telemetry import metrics_rows
+from tidelight.streaming.windows import bucket_counts, closed_runs
 
 PLANS = Catalog()
 
@@ -101,21 +102,36 @@ def stream_image_files(spark, sf_dir):
     return done.unionByName(read_rejected(spark, cfg.rejected).select("fileName", "error"))
 
 
-@PLANS.add("""WITH days AS (SELECT date_trunc('hour', ts) AS h FROM events)
-SELECT CAST(h AS TIMESTAMP) AS hour, count(*) AS images FROM days GROUP BY 1""")
+def _event_stream(spark, sf_dir):
+    deposited = F.col("ts").cast("timestamp").alias("depositedAt")
+    return i.table_stream(spark, sf_dir, "events").select(deposited)
+
+
+@PLANS.add("""WITH hours AS (SELECT date_trunc('hour', ts) AS h FROM events)
+SELECT CAST(h AS TIMESTAMP) AS "depositedAt", count(*) AS images FROM hours GROUP BY 1""")
 def stream_hourly_counts(spark, sf_dir):
-    """Tumbling counts kept by the stream, written whenever they change."""
+    """Tumbling counts kept by the stream, written whenever they change; the newest version counts."""
     folder = work_folder(spark, "stream")
-    deposited = F.col("ts").cast("timestamp")
-    events = i.table_stream(spark, sf_dir, "events").select(deposited.alias("depositedAt"))
-    hours = events.withWatermark("depositedAt", "31 days").groupBy(F.window("depositedAt", "1 hour"))
-    counts = hours.count().select(F.col("window.start").alias("hour"), F.col("count").alias("images"))
+    counts = bucket_counts(_event_stream(spark, sf_dir), "depositedAt", "1 hour", "31 days")
 
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{folder}/out/version={batch_id}")
 
     query = counts.writeStream.outputMode("update").foreachBatch(write)
     query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    newest = F.max_by("images", "version").alias("images")
     written = spark.read.parquet(f"{folder}/out")
-    return written.groupBy("hour").agg(newest).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    newest = written.groupBy("depositedAt").agg(F.max_by("images", "version").alias("images"))
+    return newest.withColumn("depositedAt", F.col("depositedAt").cast("timestamp_ntz"))
+
+
+@PLANS.add("""WITH gaps AS (SELECT ts, ts - lag(ts) OVER (ORDER BY ts) > INTERVAL 600 SECOND AS pause FROM events),
+numbered AS (SELECT ts, sum(CASE WHEN pause THEN 1 ELSE 0 END) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps)
+SELECT min(ts) AS "runStart", max(ts) AS "runEnd", count(*) AS rows FROM numbered GROUP BY run
+HAVING max(ts) + INTERVAL 600 SECOND <= (SELECT max(ts) FROM events)""")
+def stream_closed_runs(spark, sf_dir):
+    folder = work_folder(spark, "stream")
+    runs = closed_runs(_event_stream(spark, sf_dir), "depositedAt", "600 seconds", "0 seconds")
+    query = runs.writeStream.format("parquet").option("path", f"{folder}/out").outputMode("append")
+    query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    done = spark.read.schema(runs.schema).parquet(f"{folder}/out")
+    return done.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("runStart", "runEnd")})

@@ -9,34 +9,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_session(cpus: int | str = "*", app: str = "tidelight", **conf: str) -> SparkSession:
-    """A session for tests and benchmarks; a cluster brings its own."""
-    builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "12g")
-    )
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+def small_file_conf(listing_tasks: int = 64) -> dict[str, str]:
+    """Settings for jobs that read very many small files.
+
+    Files are packed many to a task, and a batch of a stream is not listed with
+    one task per file.
+    """
+    return {
+        "spark.sql.files.openCostInBytes": "65536",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(listing_tasks),
+    }
 
 
-def image_session_conf(rows_per_arrow_batch: int = 64) -> dict[str, str]:
+def image_conf(rows_per_arrow_batch: int = 64) -> dict[str, str]:
     """Settings for jobs that carry decoded images through Python workers.
 
-    A decoded X-ray takes megabytes, so the default of 10 000 rows per Arrow batch would need tens of
-    gigabytes per task. Small files are packed many to a task.
+    A decoded X-ray takes megabytes, so the default of 10 000 rows per Arrow
+    batch would need tens of gigabytes per task.
     """
-    return {
-        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_arrow_batch),
-        "spark.sql.files.openCostInBytes": "65536",
+    return small_file_conf() | {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_arrow_batch)}
+
+
+def local_session(cpus: int | str = "*", app: str = "tidelight", **conf: str) -> SparkSession:
+    """A session for tests and benchmarks; a cluster brings its own."""
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "12g",
     }
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    for key, value in (settings | small_file_conf() | conf).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

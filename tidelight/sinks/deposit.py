@@ -3,33 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import time
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelight.defaults import STAGING_DIR
+from tidelight.functions.storage import locate
 from tidelight.session import work_folder
 
-_REMOTE = re.compile(r"^([a-z][a-z0-9+.-]*)://([^/]*)(/.*)$")
-_LOCAL = re.compile(r"^file:(//)?(?=/)")
 _CHUNK = 4 * 1024 * 1024
 
 
-def locate(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path inside it, for the URI spellings that Spark uses."""
-    path = _LOCAL.sub("", path)
-    remote = _REMOTE.match(path)
-    if not remote:
-        return fs.LocalFileSystem(), path
-    system, base = fs.FileSystem.from_uri(f"{remote[1]}://{remote[2]}/")
-    return system, f"{base.rstrip('/')}{remote[3]}"
-
-
 def _copy(source: str, root: str, target: str) -> int:
     """Copy into the staging directory, then rename; nobody sees a half-written file."""
     source_fs, source_path = locate(source)
