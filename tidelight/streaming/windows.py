@@ -18,9 +18,12 @@ def bucket_counts(stream: DataFrame, ts: str, bucket: str, delay: str, count_nam
     return counts.select(F.col("window.start").alias(ts), count_name)
 
 
-def closed_runs(stream: DataFrame, ts: str, gap: str, delay: str) -> DataFrame:
-    """Runs separated by pauses longer than the gap, each once it can no longer grow (append mode)."""
-    windows = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap))
+def closed_runs(stream: DataFrame, key: str, ts: str, gap: str, delay: str) -> DataFrame:
+    """Runs of each key separated by pauses longer than the gap, each once it can no longer grow (append mode).
+
+    Spark keeps session state per key; the key may be the landing zone or the consumer.
+    """
+    windows = stream.withWatermark(ts, delay).groupBy(key, F.session_window(ts, gap))
     return windows.agg(
         F.min(ts).alias("runStart"), F.max(ts).alias("runEnd"), F.count(F.lit(1)).alias("rows")
     ).drop("session_window")
