@@ -70,7 +70,8 @@ def resample(raster: np.ndarray, height: int, width: int) -> np.ndarray:
     tall = _resample_rows(raster.reshape(rows, -1), height).reshape(height, columns, channels)
     across = _resample_rows(tall.transpose(1, 0, 2).reshape(columns, -1), width)
     out = across.reshape(width, height, channels).transpose(1, 0, 2)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    # Rounded twice, so that a tie does not hang on the order of summation.
+    return np.clip(np.rint(out.round(6)), 0, 255).astype(np.uint8)
 
 
 def fit_shape(height: int, width: int, target_height: int, target_width: int, fill: bool) -> tuple[int, int]:

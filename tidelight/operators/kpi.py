@@ -12,6 +12,7 @@ from tidelight.defaults import PAGE_SIZE, QUARANTINE_HEAD
 from tidelight.functions.instants import epoch_us, floor_to, latency_seconds, latency_tenths
 from tidelight.operators.latency import latency_figures
 from tidelight.operators.ordered import ordered_scan, with_row_index
+from tidelight.session import settle
 
 LATENCY = "latencySeconds"
 
@@ -108,7 +109,7 @@ def page(
     """
     shown = existing(df, columns) if columns else df.columns
     backwards = -floor_to(epoch_us(F.col(ts)), bucket_us)
-    slots = df.groupBy(backwards.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    slots = settle(df.groupBy(backwards.alias("slot")).agg(F.count(F.lit(1)).alias("n")))
     timed_rows = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("n"))), F.lit(0))
     total, known = slots.agg(F.coalesce(F.sum("n"), F.lit(0)), timed_rows).first()
     pages = max(1, math.ceil(total / size))

@@ -68,7 +68,7 @@ tall AS (SELECT doc_id, t.j AS y, n % 64 AS x, sum(v * t.w) AS v FROM cells JOIN
 small AS (SELECT doc_id, y, t.j AS x, sum(v * t.w) AS v FROM tall JOIN shapes USING (doc_id)
   JOIN x_taps t ON t.target = iw AND t.i = tall.x GROUP BY ALL)
 SELECT doc_id, 32 AS "featureWidth", 32 AS "featureHeight", true AS ok,
-  CAST(sum(round_even(greatest(0, least(255, v)), 0)) AS BIGINT) AS levels FROM small GROUP BY 1"""
+  CAST(sum(round_even(greatest(0, least(255, round(v, 6))), 0)) AS BIGINT) AS levels FROM small GROUP BY 1"""
 
 
 def _ratio_sql(pick: str) -> tuple[str, str]:

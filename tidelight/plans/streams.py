@@ -124,15 +124,15 @@ def stream_hourly_counts(spark, sf_dir):
     return newest.withColumn("depositedAt", F.col("depositedAt").cast("timestamp_ntz"))
 
 
-@PLANS.add("""WITH gaps AS (SELECT *, ts - lag(ts) OVER w > INTERVAL 1800 SECOND AS pause FROM events
+@PLANS.add("""WITH gaps AS (SELECT *, ts - lag(ts) OVER w > INTERVAL 600 SECOND AS pause FROM events
   WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
 numbered AS (SELECT *, sum(CASE WHEN pause THEN 1 ELSE 0 END) OVER (PARTITION BY event_type ORDER BY ts
   ROWS UNBOUNDED PRECEDING) AS run FROM gaps)
 SELECT event_type, min(ts) AS "runStart", max(ts) AS "runEnd", count(*) AS rows FROM numbered GROUP BY event_type, run
-HAVING max(ts) + INTERVAL 1800 SECOND <= (SELECT max(ts) FROM events)""")
+HAVING max(ts) + INTERVAL 600 SECOND <= (SELECT max(ts) FROM events)""")
 def stream_closed_runs(spark, sf_dir):
     folder = work_folder(spark, "stream")
-    runs = closed_runs(_event_stream(spark, sf_dir), "event_type", "depositedAt", "1800 seconds", "0 seconds")
+    runs = closed_runs(_event_stream(spark, sf_dir), "event_type", "depositedAt", "600 seconds", "0 seconds")
     query = runs.writeStream.format("parquet").option("path", f"{folder}/out").outputMode("append")
     query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     done = spark.read.schema(runs.schema).parquet(f"{folder}/out")
