@@ -13,8 +13,8 @@ from tidelight.functions.paths import (
 )
 
 PATHS = [
-    "file:/data/chest/train/NORMAL/IM-1.jpeg",
-    "data\\chest\\val\\PNEUMONIA\\person2_virus_3.JPG",
+    "file:/data/set/train/NORMAL/IM-1.jpeg",
+    "data\\set\\val\\PNEUMONIA\\person2_virus_3.JPG",
     "test/PNEUMONIA/person1_bacteria_2.png",
     "NORMAL/short.png",
     "alone.jpeg",

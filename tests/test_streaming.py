@@ -4,14 +4,14 @@ import numpy as np
 import pytest
 
 from tidelight import schemas
-from tidelight.defaults import UNDECODABLE, StreamConfig
+from tidelight.defaults import EMPTY_FILE, UNDECODABLE, StreamConfig
 from tidelight.functions.scoring import linear_model
 from tidelight.functions.storage import locate
 from tidelight.operators.batches import bench_summary
 from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans.inputs import png
 from tidelight.sinks.deposit import deposit, replay
-from tidelight.sinks.tables import append_batch
+from tidelight.sinks.tables import append_batch, quarantine_empty
 from tidelight.sources import tables
 from tidelight.sources.files import empty_files, file_tree, landing_files
 from tidelight.streaming.ingest import run_for, start_infer, start_train, warm_up
@@ -51,7 +51,13 @@ def test_infer_routes_every_file_and_resumes(spark, tmp_path):
     assert all(r.depositedAt <= r.processedAt for r in done.values())
     bad = tables.rejected(spark, cfg.rejected).collect()
     assert [(r.fileName, r.error) for r in bad] == [("bad.jpg", UNDECODABLE)]
-    assert [r.fileName for r in empty_files(spark, cfg.incoming).collect()] == ["empty.png"]
+    put(zone / "_staging", z__png=b"")
+    empty = empty_files(spark, cfg.incoming)
+    assert [r.fileName for r in empty.collect()] == ["empty.png"]
+    for _ in range(2):
+        quarantine_empty(empty, tables.rejected(spark, cfg.rejected), cfg.rejected)
+    errors = sorted(r.error for r in tables.rejected(spark, cfg.rejected).collect())
+    assert errors == [EMPTY_FILE, UNDECODABLE]
     assert {r.fileName for r in landing_files(spark, cfg.incoming).collect()} == {"a.png", "b.PNG", "bad.jpg", "d.png"}
 
     put(zone, f__png=GREY["dark"])

@@ -52,9 +52,15 @@ def is_image(path: Column, extensions: Sequence[str] = IMAGE_EXTENSIONS) -> Colu
     return path.rlike(rf"(?:^|[./\\])(?i:{_any_of(extensions)})$")
 
 
-def is_labeled(path: Column, splits: Sequence[str] = SPLITS, labels: Sequence[str] = CATEGORIES) -> Column:
-    """Whether the path ends in ``split/label/file`` with an allowed split and label."""
-    return path.rlike(rf"(?:^|[/\\])(?:{_any_of(splits)})[/\\](?:{_any_of(labels)})[/\\][^/\\]*$")
+def is_labeled(
+    path: Column,
+    splits: Sequence[str] = SPLITS,
+    labels: Sequence[str] = CATEGORIES,
+    extensions: Sequence[str] = IMAGE_EXTENSIONS,
+) -> Column:
+    """Whether the path ends in ``split/label/file`` with an allowed split, label and extension."""
+    folders = rf"(?:^|[/\\])(?:{_any_of(splits)})[/\\](?:{_any_of(labels)})[/\\]"
+    return path.rlike(rf"{folders}(?:[^/\\]*\.)?(?i:{_any_of(extensions)})$")
 
 
 def keep_images(
@@ -70,8 +76,7 @@ def keep_labeled(
     extensions: Sequence[str] = IMAGE_EXTENSIONS,
     path_col: str = "path",
 ) -> DataFrame:
-    path = F.col(path_col)
-    return df.where(is_labeled(path, splits, labels) & is_image(path, extensions))
+    return df.where(is_labeled(F.col(path_col), splits, labels, extensions))
 
 
 def relative_target(mode: str) -> Column:

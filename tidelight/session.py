@@ -24,7 +24,7 @@ def small_file_conf(listing_tasks: int = 64) -> dict[str, str]:
 def image_conf(rows_per_arrow_batch: int = 64) -> dict[str, str]:
     """Settings for jobs that carry decoded images through Python workers.
 
-    A decoded X-ray takes megabytes, so the default of 10 000 rows per Arrow
+    A decoded image takes megabytes, so the default of 10 000 rows per Arrow
     batch would need tens of gigabytes per task.
     """
     return small_file_conf() | {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_arrow_batch)}
@@ -55,7 +55,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     other machine has to see it.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
