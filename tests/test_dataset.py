@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidelight.functions.scoring import best_class, linear_model, model_at, score, size_error
 from tidelight.operators import dataset, training
 from tidelight.operators.batches import after_warmup, bench_summary
+from tidelight.operators.outcomes import batch_score
 
 
 def rows_of(spark, counts):
@@ -146,6 +147,18 @@ def test_wrong_sizes_have_an_error(spark):
         None, "Expected 4 features, got 1", "Expected 4 features, got 0"]
 
 
+def test_batch_scores_keep_the_true_class_and_refuse_other_sizes(spark):
+    df = vectors(spark)
+    weights = np.arange(12).reshape(4, 3) % 5 - 2
+    kept = batch_score(df, linear_model(weights), 2, 2, keep=True)
+    assert kept.storageLevel.useMemory and kept.count() == df.count()
+    assert kept.columns == ["sourcePath", "split", "labelId", "predictedLabelId", "predictedLabel", "score"]
+    kept.unpersist()
+    odd = df.withColumn("features", F.when(F.col("sourcePath") == "s3", F.array(F.lit(1.0))).otherwise(F.col("features")))
+    with pytest.raises(Exception, match="Expected 4 features, got 1"):
+        batch_score(odd.withColumn("features", F.col("features").cast("array<float>")), linear_model(weights), 2, 2).collect()
+
+
 def test_classifier_learns_and_is_served(spark):
     rng = np.random.default_rng(1)
     rows = []

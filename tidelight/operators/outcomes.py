@@ -84,9 +84,14 @@ def batch_score(
 ) -> DataFrame:
     """Score a feature table and keep its true class: ``(sourcePath, split, labelId, prediction...)``.
 
-    ``keep`` persists the result for callers that count, measure and write it.
+    A vector of another size is an error; ``dataset.feature_violations`` lists
+    such rows. ``keep`` persists the result for callers that count, measure and
+    write it.
     """
-    fitting = features.where(size_error(height, width).isNull())
-    scored = with_prediction(score(fitting, make_predictor, height, width, batch_size), names)
+    wrong = size_error(height, width)
+    checked = F.when(wrong.isNull(), F.col("features")).otherwise(F.raise_error(wrong).cast("array<float>"))
+    scored = with_prediction(
+        score(features.withColumn("features", checked), make_predictor, height, width, batch_size), names
+    )
     result = scored.select("sourcePath", "split", "labelId", "predictedLabelId", "predictedLabel", "score")
     return result.persist(StorageLevel.MEMORY_AND_DISK) if keep else result
