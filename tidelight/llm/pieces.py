@@ -32,7 +32,7 @@ from tidelight.llm import words as w
 
 _BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 _NEVER = float("-inf")
 REMEMBERED_LENGTH = 48
 
@@ -87,50 +87,51 @@ class Vocabulary:
 def stream_pieces(text: str, vocabulary: Vocabulary) -> Iterator[tuple[int, str]]:
     """Start and text of the pieces of the best cut, each as soon as it is final."""
     tree, longest, unknown = vocabulary.tree, vocabulary.longest, vocabulary.unknown
-    size = len(text)
-    base = 0  # the last commitment; lists hold the positions from there on
-    best, back = [0.0], [0]
+    size, step = len(text), 2 * vocabulary.longest
+    base = 0  # the last commitment; the lists hold the positions from there on
+    room = min(size, step + longest) + 1
+    best, back = [_NEVER] * room, [0] * room
+    best[0] = 0.0
+    due = min(size, step)
     for start in range(size):
-        reached = best[start - base]
-        children, end = tree, start
-        if text[start] not in tree or tree[text[start]][1] is None:
-            _offer(best, back, base, start, start + 1, reached + unknown)
-        while end < size:
-            node = children.get(text[end])
+        at = start - base
+        reached = best[at]
+        children = tree
+        for end, char in enumerate(text[start : start + longest], at + 1):
+            node = children.get(char)
             if node is None:
                 break
-            end += 1
             children, score = node
-            if score is not None:
-                _offer(best, back, base, start, end, reached + score)
+            if score is not None and reached + score > best[end]:
+                best[end] = reached + score
+                back[end] = start
+        if text[start] not in vocabulary.ids and reached + unknown > best[at + 1]:
+            best[at + 1] = reached + unknown
+            back[at + 1] = start
         done = start + 1  # its score and all before it are final
-        if done == size or (done - base) % (2 * longest) == 0:
-            # Later pieces start here, or have ended beyond and started at these.
-            paths = {done} | {back[at - base] for at in range(done + 1, base + len(best)) if best[at - base] > _NEVER}
-            while len(paths) > 1:
-                last = max(paths)
-                paths.remove(last)
-                paths.add(back[last - base])
-            boundary = paths.pop()
-            if boundary > base:
-                cuts = [boundary]
-                while cuts[-1] > base:
-                    cuts.append(back[cuts[-1] - base])
-                for first, stop in zip(cuts[::-1], cuts[-2::-1]):
-                    yield first, text[first:stop]
-                top = best[boundary - base]
-                best = [score - top for score in best[boundary - base :]]
-                back = back[boundary - base :]
-                back[0] = base = boundary
-
-
-def _offer(best: list[float], back: list[int], base: int, start: int, end: int, score: float) -> None:
-    at = end - base
-    while len(best) <= at:
-        best.append(_NEVER)
-        back.append(base)
-    if score > best[at]:
-        best[at], back[at] = score, start
+        if done != due:
+            continue
+        # Later pieces start here, or have ended beyond and started at these.
+        paths = {done} | {start for start, score in zip(back[done - base + 1 :], best[done - base + 1 :]) if score > _NEVER}
+        while len(paths) > 1:
+            last = max(paths)
+            paths.remove(last)
+            paths.add(back[last - base])
+        boundary = paths.pop()
+        if boundary > base:
+            cuts = [boundary]
+            while cuts[-1] > base:
+                cuts.append(back[cuts[-1] - base])
+            for first, stop in zip(cuts[::-1], cuts[-2::-1]):
+                yield first, text[first:stop]
+            top = best[boundary - base]
+            best = [score - top for score in best[boundary - base :]]
+            back = back[boundary - base :]
+            back[0] = base = boundary
+        due = min(size, done + step)
+        missing = min(size, due + longest) - base + 1 - len(best)
+        best += [_NEVER] * missing
+        back += [base] * missing
 
 
 class _Memory(dict):

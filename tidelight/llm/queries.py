@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import lines, pieces, quality, sharding
+from tidelight.llm import fingerprints, lines, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -19,6 +19,19 @@ SHARDS = 24
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+@PLANS.add()
+def op1_personal_data(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(base) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans")
+    )
+
+
 @PLANS.add()
 def op2_ring_shards(spark, sf_dir):
     placed = sharding.shard_by_ring(table(spark, sf_dir, "documents"), SHARDS)
@@ -56,3 +69,13 @@ def op7_sentencepiece(spark, sf_dir):
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_ids"), "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@PLANS.add()
+def op9_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@PLANS.add()
+def op10_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
