@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, lines, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import fingerprints, lines, neardup, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -71,6 +71,11 @@ def op7_sentencepiece(spark, sf_dir):
     )
 
 
+@PLANS.add()
+def op8_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @PLANS.add()
 def op9_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
