@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, lines, neardup, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import fingerprints, lines, mixing, neardup, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -15,6 +15,7 @@ PLANS = Catalog()
 TOKENIZERS = os.environ.get("TIDELIGHT_TOKENIZERS", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 SHARDS = 24
+DOMAIN_WEIGHTS = {"clean": 0.82, "poor": 0.09, "toxic": 0.09}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -56,6 +57,20 @@ def op3_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def label_domain():
+    """What a label says about a text: ``toxic``, else ``poor`` or ``clean`` by its quality."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+
+
+@PLANS.add()
+def op4_soft_mixing(spark, sf_dir):
+    rates = mixing.fit_rates(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_domain(), DOMAIN_WEIGHTS
+    )
+    posterior = [F.col("posterior")[name].alias(f"p_{name}") for name in DOMAIN_WEIGHTS]
+    return rates.select("doc_id", "n_words", *posterior, "rate", "copies")
+
+
 @PLANS.add()
 def op5_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
