@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, lines, mixing, neardup, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import fingerprints, lines, mixing, neardup, passages, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -76,6 +76,11 @@ def op5_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@PLANS.add()
+def op6_repeated_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @PLANS.add()
 def op7_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
