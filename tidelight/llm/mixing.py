@@ -182,15 +182,15 @@ def solve_rates(
 ) -> tuple[list[list[float]], dict[str, list[float]]]:
     """The slopes of all rounds, from which every document's rate follows, and the domains' natural, target and final totals.
 
-    ``known`` has ``n_words`` and ``posterior``. ``budget``: total tokens wanted; None means as many as there are without
-    using any domain more than it holds.
+    ``known`` has ``n_words`` and ``posterior``. ``budget``: total tokens wanted; None means so many that the
+    domain of the largest weight is used as much as it is there.
     """
     total = [F.coalesce(F.sum(F.col("n_words") * F.get("posterior", F.lit(d))), F.lit(0.0)).alias(f"s{d}") for d in range(len(domains))]
     natural = np.array(list(known.agg(*total).head()), float)
     share = np.array([weights[name] for name in domains], float)
     share = share / share.sum()
     if budget is None:
-        budget = min((natural[d] / share[d] for d in range(len(domains)) if share[d] > 0), default=0.0)
+        budget = natural[share.argmax()] / share.max()
     target = budget * share
     if natural.sum() == 0:
         return [], {name: [0.0, 0.0, 0.0] for name in domains}
