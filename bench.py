@@ -16,7 +16,7 @@ from tidelight.session import local_session
 HEADLINE = (
     "labeled_counts", "replay_plan", "kpi_summary", "class_distribution", "backlog", "predictions_page",
     "bench_summary", "queue_level", "queue_changes", "deposits_per_bucket", "runs", "run_of_each_row",
-    "last_run_kpis", "split_class_counts", "class_weights", "val_rebalance", "training_batches", "load_set",
+    "last_run_kpis", "stream_metrics", "split_class_counts", "class_weights", "val_rebalance", "training_batches", "load_set",
     "batch_scoring", "evaluation", "trained_classifier", "luminance_features", "resized_fit",
     "feature_store_rebalance", "augmented_rows", "stream_predictions", "stream_features", "stream_image_files",
 )

@@ -65,22 +65,27 @@ def test_infer_routes_every_file_and_resumes(spark, tmp_path):
     assert tables.predictions(spark, cfg.output).count() == 4
 
 
-@pytest.mark.parametrize("quarantine", [True, False])
-def test_train_fills_the_feature_store(spark, tmp_path, quarantine):
+def test_train_fills_the_feature_store(spark, tmp_path):
     zone = tmp_path / "zone"
     put(zone / "train" / "NORMAL", a__png=GREY["dark"], bad__png=b"junk")
     put(zone / "val" / "PNEUMONIA", x_bacteria__png=GREY["light"], x_none__png=GREY["light"])
     put(zone / "train" / "OTHER", a__png=GREY["dark"])
     put(zone / "misc" / "NORMAL", a__png=GREY["dark"])
-    cfg = config(tmp_path, **({} if quarantine else {"rejected": None}))
+    cfg = config(tmp_path)
     run_for(start_train(spark, cfg), 120)
     got = tables.features(spark, cfg.output).collect()
     assert sorted((r.split, r.labelId, r.featureWidth) for r in got) == [("train", 0, 4), ("val", 1, 4)]
     assert {round(r.features[0], 4) for r in got} == {round(10 / 255, 4), round(250 / 255, 4)}
-    if quarantine:
-        bad = {r.fileName: r.error for r in tables.rejected(spark, cfg.rejected).collect()}
-        assert bad["bad.png"] == UNDECODABLE
-        assert bad["x_none.png"] == "Unable to resolve pneumonia subtype from filename : x_none.png"
+    bad = {r.fileName: r.error for r in tables.rejected(spark, cfg.rejected).collect()}
+    assert bad["bad.png"] == UNDECODABLE
+    assert bad["x_none.png"] == "Unable to resolve pneumonia subtype from filename : x_none.png"
+
+
+def test_another_checkpoint_over_an_old_sink_loses_nothing(spark, tmp_path):
+    for run in ("one", "two"):
+        put(tmp_path / run, **{f"{run}{k}__png": GREY["dark"] for k in range(3)})
+        run_for(start_infer(spark, config(tmp_path, incoming=str(tmp_path / run), checkpoint=str(tmp_path / f"c{run}")), MODEL), 120)
+    assert tables.predictions(spark, str(tmp_path / "out")).count() == 6
 
 
 def test_processed_files_are_deleted_after_their_batch(spark, tmp_path):
@@ -112,8 +117,13 @@ def test_bounded_run_stops_and_telemetry_is_written(spark, tmp_path):
 
 def test_warm_up_leaves_the_sinks_alone(spark, tmp_path):
     cfg = config(tmp_path)
-    warm_up(spark, cfg, MODEL)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        warm_up(spark, cfg, MODEL)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
     assert not (tmp_path / "out").exists()
+    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
 
 
 def test_missing_sinks_have_no_rows(spark, tmp_path):
@@ -123,10 +133,14 @@ def test_missing_sinks_have_no_rows(spark, tmp_path):
 
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "sink")
-    append_batch(spark.range(3), path, 1)
-    append_batch(spark.range(5), path, 2)
-    append_batch(spark.range(4), path, 1)
-    assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(1, 4), (2, 5)]
+    append_batch(spark.range(3), path, 1, "a")
+    append_batch(spark.range(5), path, 2, "a")
+    append_batch(spark.range(7), path, 2, "b")
+    append_batch(spark.range(4), path, 1, "a")
+    counts = spark.read.parquet(path).groupBy("writer", "batch_id").count().orderBy("writer", "batch_id").collect()
+    assert counts == [("a", 1, 4), ("a", 2, 5), ("b", 2, 7)]
+    append_batch(spark.range(0), path, 1, "a")
+    assert spark.read.parquet(path).count() == 12
 
 
 def test_replay_copies_in_batches(spark, tmp_path):

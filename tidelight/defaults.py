@@ -45,7 +45,7 @@ class StreamConfig:
     incoming: str
     output: str
     checkpoint: str
-    rejected: str | None = None
+    rejected: str
     trigger_seconds: int = 1
     max_files_per_trigger: int = 256
     delete_processed: bool = True

@@ -132,7 +132,7 @@ def _outcome(image: dict | None, size: int, mode: str | None) -> tuple[int, int,
     try:
         resized = resize(raster, size, size, mode)
         return size, size, luminance(resized), True, ""
-    except (ValueError, MemoryError) as failure:
+    except Exception as failure:  # one bad file must not end a stream
         return 0, 0, _EMPTY, False, str(failure) or type(failure).__name__
 
 

@@ -98,14 +98,13 @@ def page(
     ts: str = "processedAt",
     tie: str = "sourcePath",
     bucket_us: int = 1_000_000,
-    top_rows: int = 100_000,
 ) -> DataFrame:
     """Page ``number`` (from 1) of the rows, newest first; a number past the end gives the last page.
 
     A deep page is not found by carrying all rows before it through a top-k:
     a histogram over time says which time range holds the page and how many of
-    its rows come first. Only when that range itself hides the page behind more
-    than ``top_rows`` rows is it numbered by a distributed sort.
+    its rows come first. The rows of that range, with the shown columns only, are
+    numbered by a distributed sort.
     """
     shown = existing(df, columns) if columns else df.columns
     backwards = -floor_to(epoch_us(F.col(ts)), bucket_us)
@@ -127,8 +126,7 @@ def page(
         timed = (epoch_us(F.col(ts)) >= -span.hi) & (epoch_us(F.col(ts)) < -span.lo + bucket_us)
         narrowed = df.where(timed | F.col(ts).isNull()) if stop > known else df.where(timed)
         skip = start - span.before
-    if skip + size <= top_rows:
-        return newest_first(narrowed, ts, tie).offset(skip).limit(size).select(*shown)
+    narrowed = narrowed.select(*dict.fromkeys([*shown, ts, tie]))
     numbered = with_row_index(narrowed, F.desc(ts), F.col(tie).asc(), name="_row")
     wanted = (F.col("_row") >= skip) & (F.col("_row") < skip + size)
     return newest_first(numbered.where(wanted), ts, tie).select(*shown)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelight import schemas
@@ -53,7 +53,7 @@ def route_outcomes(df: DataFrame, height: int | None = None, width: int | None =
     return df.where("ok"), df.where("NOT ok")
 
 
-def as_predictions(
+def scored_outcomes(
     good: DataFrame,
     make_predictor: Callable[[], Predictor],
     height: int,
@@ -61,12 +61,17 @@ def as_predictions(
     batch_size: int = 64,
     names: Mapping[int, str] = CLASS_NAMES,
 ) -> DataFrame:
+    """Predictions without ``processedAt``, which is known only once they exist."""
     scored = with_prediction(score(good, make_predictor, height, width, batch_size), names)
-    return scored.withColumn("processedAt", F.current_timestamp()).select(*schemas.PREDICTIONS.names)
+    return scored.select(*(c for c in schemas.PREDICTIONS.names if c != "processedAt"))
 
 
-def as_rejected(bad: DataFrame) -> DataFrame:
-    return bad.withColumn("processedAt", F.current_timestamp()).select(*schemas.REJECTED.names)
+def as_predictions(scored: DataFrame, at: Column) -> DataFrame:
+    return scored.withColumn("processedAt", at).select(*schemas.PREDICTIONS.names)
+
+
+def as_rejected(bad: DataFrame, at: Column) -> DataFrame:
+    return bad.withColumn("processedAt", at).select(*schemas.REJECTED.names)
 
 
 def as_features(good: DataFrame) -> DataFrame:

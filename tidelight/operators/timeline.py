@@ -84,17 +84,21 @@ def queue_level(events: DataFrame, bucket: str = "1 second", last: int | None =
 
 
 def events_per_bucket(
-    df: DataFrame, ts: str, bucket: str = "1 second", last: int = CHART_BUCKETS, count_name: str = "images"
+    df: DataFrame, ts: str, bucket: str = "1 second", last: int | None = CHART_BUCKETS, count_name: str = "images"
 ) -> DataFrame:
-    """Rows per tumbling bucket, zero-filled, for the newest ``last`` buckets."""
+    """Rows per tumbling bucket, zero-filled, for the newest ``last`` buckets or, with None, for all."""
     kind, width = type_of(df, ts), micros_in(bucket)
     # Written once: the grid's bounds and the counts come from one scan of ``df``.
     counts = settle(
         df.na.drop(subset=[ts]).groupBy(bucket_us(F.col(ts), width).alias("us")).agg(F.count(F.lit(1)).alias("n"))
     )
     span = counts.agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
-    first = F.greatest(F.col("lo"), F.col("hi") - (last - 1) * width)
-    grid = span.where("hi IS NOT NULL").select(F.explode(F.sequence(first, F.col("hi"), F.lit(width))).alias("us"))
+    first = F.col("lo") if last is None else F.greatest(F.col("lo"), F.col("hi") - (last - 1) * width)
+    # One row per block of the grid, which are spread before they are laid out.
+    block = _FILL_BLOCK * width
+    blocks = span.where("hi IS NOT NULL").select(F.explode(F.sequence(first, F.col("hi"), F.lit(block))).alias("start"), "hi")
+    stop = F.least(F.col("start") + (block - width), F.col("hi"))
+    grid = blocks.repartition("start").select(F.explode(F.sequence("start", stop, F.lit(width))).alias("us"))
     filled = grid.join(counts, "us", "left")
     return filled.select(
         from_epoch_us(F.col("us"), kind).alias(ts), F.coalesce("n", F.lit(0)).cast("long").alias(count_name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelight.defaults import CLASS_IDS
 from tidelight.functions.scoring import Predictor, linear_model
 from tidelight.operators.dataset import with_class_weight
 
@@ -38,12 +39,14 @@ def as_predictor(model: LogisticRegressionModel) -> Callable[[], Predictor]:
 
 
 def confusion_matrix(
-    df: DataFrame, truth: str = "labelId", predicted: str = "predictedLabelId", classes: list[int] | None = None
+    df: DataFrame, truth: str = "labelId", predicted: str = "predictedLabelId",
+    classes: Iterable[int] = tuple(sorted(CLASS_IDS.values())),
 ) -> DataFrame:
-    """One row per true class, one column ``predicted_<id>`` per class."""
-    ids = classes if classes is not None else [0, 1, 2]
+    """One row per true class, one column ``predicted_<id>`` per class, and ``predicted_other`` for any other or no id."""
+    ids = list(classes)
     counts = [F.count_if(F.col(predicted) == c).alias(f"predicted_{c}") for c in ids]
-    return df.groupBy(truth).agg(*counts)
+    other = F.count_if(F.coalesce(~F.col(predicted).isin(ids), F.lit(True))).alias("predicted_other")
+    return df.groupBy(truth).agg(*counts, other)
 
 
 def evaluate(df: DataFrame, truth: str = "labelId", scores: str = "scores", floor: float = 1e-7) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelight.defaults import AugmentConfig
 from tidelight.functions.images import augment, luminance_expr, vectorize
 from tidelight.operators.dataset import rebalance_validation, split_class_counts
 from tidelight.operators.outcomes import train_outcomes
@@ -78,8 +79,7 @@ def _ratio_sql(pick: str) -> tuple[str, str]:
 
 def _resized(spark, sf_dir, mode):
     files = i.text_rasters(spark, sf_dir)
-    spread = files.repartition(parts) if (parts := i.few_files(spark, files)) else files
-    done = vectorize(spread, size=32, mode=mode)
+    done = vectorize(files.repartition("doc_id"), size=32, mode=mode)
     levels = F.aggregate("features", F.lit(0).cast("long"), lambda acc, x: acc + F.rint(x * 255).cast("long"))
     return done.select("doc_id", "featureWidth", "featureHeight", "ok", levels.alias("levels"))
 
@@ -118,9 +118,8 @@ def feature_store_rebalance(spark, sf_dir):
     The store is written once; the rebalance reads its key columns only.
     """
     files = i.text_rasters(spark, sf_dir, keep=("lang",))
-    spread = files.repartition(parts) if (parts := i.few_files(spark, files)) else files
     digit = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
-    done = vectorize(spread, size=32, mode="fit").select(
+    done = vectorize(files.repartition("doc_id"), size=32, mode="fit").select(
         F.concat(F.lit("doc_"), "doc_id").alias("sourcePath"),
         F.when(digit.isin("0", "1"), "test").when(digit == "2", "val").otherwise("train").alias("split"),
         (F.array_position(F.array(*map(F.lit, _LANGS)), F.col("lang")) - 1).cast("int").alias("labelId"),
@@ -130,6 +129,18 @@ def feature_store_rebalance(spark, sf_dir):
     return split_class_counts(rebalance_validation(store, 100, classes=range(4), on_shortfall="take_all"))
 
 
+@PLANS.add(f"""WITH {i.FEATURES}, copies AS (SELECT UNNEST([0, 1]) AS "copyNo"),
+values AS (SELECT "sourcePath", "copyNo", UNNEST(features) AS value, UNNEST(range(64)) AS pixel FROM features, copies)
+SELECT "sourcePath", CAST("copyNo" AS INT) AS "copyNo", CAST(pixel AS INT) AS pixel,
+  round(CAST(greatest(0, least(1, value)) AS DOUBLE), 6) AS value FROM values""")
+def undistorted_copies(spark, sf_dir):
+    """Augmentation whose ranges are all zero gives every vector as it is."""
+    still = AugmentConfig(0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+    copies = augment(i.features(spark, sf_dir).select("sourcePath", "featureWidth", "featureHeight", "features"), 2, cfg=still)
+    values = copies.select("sourcePath", "copyNo", F.posexplode("features").alias("pixel", "value"))
+    return values.withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
 @PLANS.add()
 def augmented_rows(spark, sf_dir):
     """Two distorted copies of every train vector."""

@@ -10,6 +10,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,12 +147,6 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_rasters(table(spark, sf_dir, "embeddings"))
 
 
-def few_files(spark: SparkSession, df: DataFrame) -> int | None:
-    """How far to spread ``df`` before Python work; ``None`` when its files already keep all cores busy."""
-    cores = spark.sparkContext.defaultParallelism
-    return cores if len(df.inputFiles()) < cores else None
-
-
 def text_rasters(spark: SparkSession, sf_dir: str, width: int = 64, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each whole document as a grey image: its UTF-8 bytes in rows of ``width``, the last row padded."""
     data = F.encode("text", "UTF-8")
@@ -180,12 +175,14 @@ def png(width: int, height: int, rgb: bytes) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
 
 
-def image_tree(spark: SparkSession, sf_dir: str) -> str:
+def image_tree(
+    spark: SparkSession, sf_dir: str, where: str = "true", place: str = "concat(sourcePath, '.png')", folder: str | None = None
+) -> str:
     """Write each raster as a PNG below the shared folder; label 9 gets broken files. Returns the folder.
 
-    Executors write the files; names are ``vec_<id>.png``.
+    Executors write the files. ``place`` is the path below the folder.
     """
-    folder = work_folder(spark, "images")
+    folder = folder or work_folder(spark, "images")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = locate(folder)
@@ -193,15 +190,15 @@ def image_tree(spark: SparkSession, sf_dir: str) -> str:
         for batch in batches:
             names = batch.column(0).to_pylist()
             for name, label, data in zip(names, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                rgb = bytes(v for at in range(0, len(data), 3) for v in reversed(data[at : at + 3]))
+                rgb = np.frombuffer(data, np.uint8).reshape(-1, 3)[:, ::-1].tobytes()
                 content = b"not an image" if label == 9 else png(8, 8, rgb)
-                with system.open_output_stream(f"{root}/{name}.png") as out:
+                system.create_dir(f"{root}/{name}".rpartition("/")[0], recursive=True)
+                with system.open_output_stream(f"{root}/{name}") as out:
                     out.write(content)
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["sourcePath"])
 
-    source = rasters(spark, sf_dir).select("sourcePath", "label", "image.data")
-    spread = source.repartition(parts) if (parts := few_files(spark, source)) else source
-    spread.mapInArrow(write, "sourcePath string").write.format("noop").mode("overwrite").save()
+    source = rasters(spark, sf_dir).where(where).select(F.expr(place).alias("sourcePath"), "label", "image.data")
+    source.repartition("sourcePath").mapInArrow(write, "sourcePath string").write.format("noop").mode("overwrite").save()
     return folder
 
 

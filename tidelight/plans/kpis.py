@@ -159,11 +159,13 @@ def nonempty_batches(spark, sf_dir):
 
 @PLANS.add(f"""WITH {i.PREDICTIONS} SELECT "predictedLabel", count(*) AS images FROM predictions GROUP BY 1""")
 def replayed_sink(spark, sf_dir):
-    """Writing the same micro-batch twice leaves its rows once."""
+    """Writing the same micro-batch twice leaves its rows once; writing it empty leaves none."""
     rows = i.predictions(spark, sf_dir).select("sourcePath", "predictedLabel")
     sink = work_folder(spark, "sink")
-    append_batch(rows, sink, 7)
-    append_batch(rows, sink, 7)
+    append_batch(rows, sink, 7, "one")
+    append_batch(rows, sink, 8, "one")
+    append_batch(rows, sink, 7, "one")
+    append_batch(rows.limit(0), sink, 8, "one")
     return kpi.class_distribution(read_sink(spark, sink, rows.schema))
 
 

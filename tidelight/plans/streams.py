@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from dataclasses import replace
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidelight.defaults import UNDECODABLE, StreamConfig
 from tidelight.functions.scoring import linear_model
+from tidelight.operators.batches import bench_summary
+from tidelight.operators.dataset import load_set
 from tidelight.operators.outcomes import train_outcomes
+from tidelight.operators.replay import emissions, replay_plan
 from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
 from tidelight.plans.datasets import linear_scores_sql, pixel_weights
 from tidelight.plans.images import PIXELS, by_pixel
 from tidelight.session import work_folder
-from tidelight.sinks.tables import write_features
+from tidelight.sinks.deposit import deposit, replay
+from tidelight.sinks.tables import append_batch, query_id
+from tidelight.sources.files import file_tree, landing_files, stream_reader
 from tidelight.sources.tables import features as read_features
+from tidelight.sources.tables import metrics as read_metrics
 from tidelight.sources.tables import predictions as read_predictions
 from tidelight.sources.tables import rejected as read_rejected
-from tidelight.streaming.ingest import start_infer, start_scoring
-from tidelight.streaming.telemetry import metrics_rows
+from tidelight.streaming.ingest import run_for, start_infer, start_scoring, start_storing, start_train
+from tidelight.streaming.telemetry import watch
 from tidelight.streaming.windows import bucket_counts, closed_runs
 
 PLANS = Catalog()
@@ -61,11 +72,135 @@ def stream_quarantine(spark, sf_dir):
     return read_rejected(spark, cfg.rejected).select("sourcePath", "fileName", "error")
 
 
-@PLANS.add("""SELECT count(*) AS images FROM embeddings""")
+@PLANS.add("""SELECT CAST(count(*) AS BIGINT) AS images, true AS "manyBatches", true AS "countedInSteps" FROM embeddings""")
 def stream_metrics(spark, sf_dir):
-    """Rows counted by the query's own telemetry."""
-    query, _ = _drain_vectors(spark, sf_dir)
-    return metrics_rows(spark, query.recentProgress).agg(F.sum("numInputRows").alias("images"))
+    """Files counted by the telemetry of a drain in more than a hundred micro-batches, from listener to CSV to summary."""
+    files = i.table(spark, sf_dir, "embeddings").count()
+    cfg = _config(spark, i.image_tree(spark, sf_dir), files_per_batch=max(1, files // 110))
+    folder, name = work_folder(spark, "metrics"), f"count-{uuid.uuid4().hex}"
+    listener = watch(spark, folder, flush_seconds=5.0, query_name=name)
+    try:
+        paths = stream_reader(spark, cfg, "binaryFile").load(cfg.incoming).select("path")
+        drain = paths.writeStream.queryName(name).format("noop").option("checkpointLocation", cfg.checkpoint)
+        drain.trigger(availableNow=True).start().awaitTermination()
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = read_metrics(spark, folder)
+    steady = bench_summary(rows, 2).select("steadyBatches", F.col("images").alias("steadyImages"))
+    total = rows.agg(F.sum("numInputRows").alias("images"), F.count("*").alias("batches"))
+    return total.join(steady).select(  # one row each
+        "images", (F.col("batches") > 100).alias("manyBatches"),
+        ((F.col("steadyBatches") == F.col("batches") - 2) & (F.col("steadyImages") < F.col("images"))).alias("countedInSteps"),
+    )
+
+
+@PLANS.add("""SELECT event_id FROM events""")
+def two_queries_one_sink(spark, sf_dir):
+    """Two queries with checkpoints of their own append to one sink, each from batch 0 on."""
+    sink = work_folder(spark, "sink")
+    events = i.table_stream(spark, sf_dir, "events").select("event_id")
+    for half in (0, 1):
+        checkpoint = work_folder(spark, "checkpoint")
+
+        def write(batch, batch_id, checkpoint=checkpoint):
+            append_batch(batch, sink, batch_id, query_id(batch.sparkSession, checkpoint))
+
+        part = events.where(F.col("event_id") % 2 == half).writeStream.foreachBatch(write)
+        part.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink).select("event_id")
+
+
+@PLANS.add(f"""WITH {i.OUTCOMES} SELECT "sourcePath", true AS "afterScoring" FROM outcomes WHERE len(features) = 64""")
+def stream_processed_after_scoring(spark, sf_dir):
+    """A model that takes its time and scores with the clock: no row is older than its score."""
+    cfg = _config(spark)
+    begin = time.time()
+
+    def load():
+        def predict(tensor):
+            time.sleep(0.05)
+            return np.full((len(tensor), 1), time.time() - begin, np.float32)
+
+        return predict
+
+    vectors = i.as_outcomes(i.as_feature_rows(i.table_stream(spark, sf_dir, "embeddings")))
+    start_scoring(vectors, cfg, load).awaitTermination()
+    done = read_predictions(spark, cfg.output)
+    late = F.unix_micros("processedAt") / 1e6 - begin >= F.col("score").cast("double") - 0.001
+    return done.select("sourcePath", late.alias("afterScoring"))
+
+
+_PLACE = """concat_ws('/', case vec_id % 10 when 8 then 'val' when 9 then 'test' when 7 then 'spare' else 'train' end,
+  if(label % 3 = 0, 'NORMAL', 'PNEUMONIA'), concat(sourcePath, if(label % 3 = 1, '_Bacteria', ''), '.png'))"""
+
+
+@PLANS.add(f"""WITH files AS (SELECT *, concat('vec_', vec_id, CASE WHEN label % 3 = 1 THEN '_Bacteria' ELSE '' END, '.png')
+  AS "fileName", CASE vec_id % 10 WHEN 8 THEN 'val' WHEN 9 THEN 'test' ELSE 'train' END AS split FROM embeddings
+  WHERE vec_id % 10 <> 7)
+SELECT "fileName", CASE WHEN label % 3 < 2 AND label <> 9 THEN split END AS split,
+  CASE WHEN label % 3 < 2 AND label <> 9 THEN CAST(label % 3 AS INT) END AS "labelId",
+  CASE WHEN label = 9 THEN '{UNDECODABLE}' WHEN label % 3 = 2
+    THEN 'Unable to resolve pneumonia subtype from filename : ' || "fileName" ELSE '' END AS error FROM files""")
+def stream_train_tree(spark, sf_dir):
+    """A split/label/file tree through the train query: every file ends in the feature store or in quarantine."""
+    cfg = _config(spark, i.image_tree(spark, sf_dir, place=_PLACE), files_per_batch=200)
+    start_train(spark, cfg).awaitTermination()
+    name = F.element_at(F.split("sourcePath", "/"), -1).alias("fileName")
+    stored = read_features(spark, cfg.output).select(name, "split", "labelId", F.lit("").alias("error"))
+    none = F.lit(None)
+    bad = read_rejected(spark, cfg.rejected).select(
+        "fileName", none.cast("string").alias("split"), none.cast("int").alias("labelId"), "error"
+    )
+    return stored.unionByName(bad)
+
+
+@PLANS.add("""SELECT concat('vec_', vec_id, '.png') AS "fileName" FROM embeddings WHERE label <> 9""")
+def stream_restarted(spark, sf_dir):
+    """A drain, more files, and a restart on the same checkpoint: every file once."""
+    cfg = _config(spark, i.image_tree(spark, sf_dir, "vec_id % 2 = 0"), files_per_batch=500)
+    for half in ("vec_id % 2 = 0", "vec_id % 2 = 1"):
+        if half.endswith("1"):
+            i.image_tree(spark, sf_dir, half, folder=cfg.incoming)
+        start_infer(spark, cfg, linear_model(pixel_weights())).awaitTermination()
+    return read_predictions(spark, cfg.output).select("fileName")
+
+
+@PLANS.add("""SELECT count(*) FILTER (WHERE label <> 9) AS predicted, true AS cleaned, true AS stopped FROM embeddings""")
+def stream_cleaned_and_bounded(spark, sf_dir):
+    """A query of fixed cadence that is stopped after a time; its processed files are deleted."""
+    drained = _config(spark, i.image_tree(spark, sf_dir))
+    files = i.table(spark, sf_dir, "embeddings").count()
+    cfg = replace(drained, max_files_per_trigger=max(1, files // 4), delete_processed=True, until_drained=False)
+    query = start_infer(spark, cfg, linear_model(pixel_weights()))
+    while sum(p.numInputRows for p in query.recentProgress) < files and query.isActive:
+        time.sleep(0.2)
+    ended = run_for(query, 2)
+    left = file_tree(spark, cfg.incoming).count() if files else 0
+    return read_predictions(spark, cfg.output).agg(
+        F.count("*").alias("predicted"), F.lit(left < files).alias("cleaned"), F.lit(not ended).alias("stopped")
+    )
+
+
+@PLANS.add("""SELECT concat('vec_', vec_id, '.png') AS "fileName" FROM embeddings""")
+def replayed_landing_zone(spark, sf_dir):
+    """The image tree replayed into a landing zone in batches, and what waits there."""
+    files = file_tree(spark, i.image_tree(spark, sf_dir))
+    zone = work_folder(spark, "zone")
+    total = i.table(spark, sf_dir, "embeddings").count()
+    replay(replay_plan(emissions(files, "infer"), batch_size=max(1, total // 3)), zone)
+    return landing_files(spark, zone).select("fileName")
+
+
+@PLANS.add("""WITH wanted AS (SELECT UNNEST(range((SELECT 2 * count(*) FROM embeddings))) AS n)
+SELECT 'stress_' || lpad(CAST(n AS VARCHAR), 6, '0') || '.png' AS "fileName" FROM wanted""")
+def filled_landing_zone(spark, sf_dir):
+    """A zone filled from a load set that takes every file twice, under names of its own."""
+    files = file_tree(spark, i.image_tree(spark, sf_dir))
+    zone = work_folder(spark, "zone")
+    load = load_set(files, 2 * i.table(spark, sf_dir, "embeddings").count(), extension="png")
+    deposit(load.select(F.col("path").alias("sourcePath"), F.col("fileName").alias("relativeTarget")), zone)
+    return landing_files(spark, zone).select("fileName")
 
 
 @PLANS.add(f"""WITH {PIXELS} SELECT "sourcePath", CAST(label % 3 AS INT) AS "labelId", pixel,
@@ -82,13 +217,7 @@ def stream_features(spark, sf_dir):
         F.timestamp_seconds("vec_id").alias("depositedAt"),
         "image",
     )
-    outcomes = train_outcomes(files, cfg.image_size, cfg.resize_mode)
-
-    def write(batch, batch_id):
-        write_features(batch, batch_id, cfg.output, cfg.rejected)
-
-    query = outcomes.writeStream.foreachBatch(write).option("checkpointLocation", cfg.checkpoint)
-    query.trigger(availableNow=True).start().awaitTermination()
+    start_storing(train_outcomes(files, cfg.image_size, cfg.resize_mode), cfg).awaitTermination()
     return by_pixel(read_features(spark, cfg.output), "sourcePath", "labelId")
 
 

@@ -103,5 +103,5 @@ def last_run_kpis(spark, sf_dir):
 @PLANS.add(f"""WITH {i.PREDICTIONS}, {_grid('"processedAt"').replace("ORDER BY grid.h DESC LIMIT 600", "")}""")
 def processed_whole_history(spark, sf_dir):
     """No tail: every bucket from the first to the last."""
-    counts = timeline.events_per_bucket(i.predictions(spark, sf_dir), "processedAt", "1 hour", last=10**6)
+    counts = timeline.events_per_bucket(i.predictions(spark, sf_dir), "processedAt", "1 hour", last=None)
     return counts.select("processedAt", F.col("images"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,21 +51,44 @@ def local_session(cpus: int | str = "*", app: str = "tidelight", **conf: str) ->
     return spark
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared checkpoint directory.
+#: Folder below which work folders lie while a :func:`scratch` is open.
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
-    The cluster names the directory in ``spark.checkpoint.dir``. Only a local
-    session without that setting falls back to a temporary folder, because no
-    other machine has to see it.
-    """
+
+def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tidelight-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared checkpoint directory.
+
+    The cluster names the directory in ``spark.checkpoint.dir``. Only a session in a single process without that
+    setting falls back to a temporary folder, because no other process has to see it.
+    """
+    return f"{_scratch.get() or _shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str = "scratch") -> Iterator[str]:
+    """A folder that holds all work folders made inside the block, and is removed at its end.
+
+    Results must be collected or written elsewhere before.
+    """
+    folder = f"{_shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable
+import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener, StreamingQueryProgress
 
 from tidelight import schemas
@@ -23,28 +23,21 @@ def metrics_row(progress: StreamingQueryProgress, at: datetime | None = None) ->
     )
 
 
-def metrics_rows(spark: SparkSession, progress: Iterable[StreamingQueryProgress]) -> DataFrame:
-    """The non-empty batches of a query's ``recentProgress`` as a table."""
-    rows = []
-    for p in progress:
-        if p.numInputRows > 0:
-            rows.append(metrics_row(p, datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))))
-    return spark.createDataFrame(rows, schemas.METRICS)
-
-
 class MetricsListener(StreamingQueryListener):
-    """Appends metric rows as CSV with a header, ``flush_every`` at a time and when a query ends.
+    """Appends metric rows as CSV with a header, at most every ``flush_seconds`` and when a query ends.
 
     Only queries with the given name are followed when ``query_name`` is set.
     """
 
-    def __init__(self, spark: SparkSession, path: str, flush_every: int = 1, query_name: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, flush_seconds: float = 10.0, query_name: str | None = None):
         self._spark = spark
         self._path = path
-        self._flush_every = flush_every
+        self._flush_seconds = flush_seconds
         self._query_name = query_name
         self._rows: list[tuple] = []
+        self._flushed = time.monotonic()
         self._lock = threading.Lock()
+        self._ended = threading.Event()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -60,16 +53,22 @@ class MetricsListener(StreamingQueryListener):
         print(f"micro-batch {row[1]}: {row[2]} file(s), {row[4]:.1f} per second, {row[5]} ms")
         with self._lock:
             self._rows.append(row)
-            due = len(self._rows) >= self._flush_every
+            due = time.monotonic() - self._flushed >= self._flush_seconds
         if due:
             self.flush()
 
     def onQueryTerminated(self, event) -> None:
         self.flush()
+        self._ended.set()
+
+    def wait(self, seconds: float = 60.0) -> bool:
+        """Wait until some query has ended and its rows are written."""
+        return self._ended.wait(seconds)
 
     def flush(self) -> None:
         with self._lock:
             rows, self._rows = self._rows, []
+            self._flushed = time.monotonic()
         if rows:
             table = self._spark.createDataFrame(rows, schemas.METRICS)
             table.coalesce(1).write.mode("append").option("header", "true").csv(self._path)
