@@ -62,7 +62,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_documents: int = 2) ->
         shared = found.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
         shared = shared.where("_first < _last")
     else:
-        each = found.groupBy("_h1", "_h2", "_doc").agg()
+        each = found.select("_h1", "_h2", "_doc").distinct()
         shared = each.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_first"), F.count("*").alias("_n"))
         shared = shared.where(F.col("_n") >= min_documents)
     shared = settle(shared.select("_h1", "_h2", "_first"))
