@@ -21,27 +21,16 @@ def components(links: DataFrame) -> DataFrame:
     )
     labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("class_id")))
     while True:
-        around = (
-            both.join(labels.select(F.col("node").alias("b"), F.col("class_id").alias("near")), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("near").alias("near"))
-        )
-        lower = settle(
-            labels.join(around, "node").select("node", "class_id", F.least("class_id", "near").alias("next"))
-        )
-        # A label that has a smaller label itself passes it on, to its members at once.
-        moved = lower.where("next < class_id").groupBy("class_id").agg(F.min("next").alias("hook"))
-        hooked = settle(
-            lower.join(moved, "class_id", "left").select(
-                "node", "class_id", F.least("next", F.coalesce("hook", "next")).alias("next")
-            )
-        )
-        jump = hooked.select(F.col("node").alias("next"), F.col("next").alias("further"))
+        near = labels.select(F.col("node").alias("b"), F.col("class_id").alias("near"))
+        around = both.join(near, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        lower = labels.join(around, "node").select("node", "class_id", F.least("class_id", "near").alias("next"))
+        jump = labels.select(F.col("node").alias("next"), F.col("class_id").alias("further"))
         following = settle(
-            hooked.join(jump, "next", "left").select(
-                "node", F.least("next", F.coalesce("further", "next")).alias("class_id"), (F.col("next") < F.col("class_id")).alias("changed")
+            lower.join(jump, "next").select(
+                "node", F.least("next", "further").alias("class_id"), (F.col("next") < F.col("class_id")).alias("moved"),
+                (F.col("further") < F.col("next")).alias("jumped"),
             )
         )
         labels = following.select("node", "class_id")
-        if not following.where("changed").limit(1).count():
+        if not following.where("moved OR jumped").limit(1).count():
             return labels

@@ -1,14 +1,15 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
-A text is a set of shingles of five words, each weighing its frequency in the text times the inverse document frequency of
-its cell (shingles are hashed to ``IDF_CELLS`` cells, so the table of weights has a fixed size; cells are counted
-over all documents). Consistent weighted sampling draws ``bands`` x ``rows`` samples that agree between two texts with
+A text is a set of shingles of five words, each weighing its frequency in the text times 1 plus ``IDF_GAIN`` times the
+relative inverse document frequency of its cell. (Shingles are hashed to ``IDF_CELLS`` cells, so the table of weights has a
+fixed size; cells are counted over all documents. The gain is below 1 because the shingles that many near copies share
+are frequent for that reason: with undamped weights the few edited ones would outweigh them.) Consistent weighted sampling draws ``bands`` x ``rows`` samples that agree between two texts with
 the probability of their weighted Jaccard similarity. Texts that agree in a band are candidates, and those whose
 weighted Jaccard similarity is at least the threshold are linked. Classes are the connected components.
 
 Equal texts are put together first and count once. In a bucket of candidates every text is compared with one pivot, not with
 all others; buckets that still hold several classes afterwards are compared again with other pivots, ring-wise between
-classes, until a round finds nothing new.
+classes, until a round finds nothing new or ``rounds`` are over.
 
 * Words are taken in lower case, without marks around them. A text of fewer than five words is one shingle; texts without words are
   alike. A null text is an empty text. A row without ``doc_id`` goes by a negative number made of its text.
@@ -34,6 +35,7 @@ from tidelight.session import settle
 
 SHINGLE = 5
 IDF_CELLS = 1 << 18
+IDF_GAIN = 0.5
 _BITS = np.uint64(44)  # of a shingle's hash that are kept
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>…"
 
@@ -77,7 +79,7 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln((1 + documents) / (1 + documents with the cell)) + 1 of every cell, over all documents."""
+    """1 + IDF_GAIN ln((1 + documents) / (1 + documents with the cell)) / ln(1 + documents) of every cell."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, documents = np.zeros(IDF_CELLS, np.int64), 0
@@ -95,7 +97,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     counts = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(IDF_CELLS + 1)
     frequency[counts.cell.to_numpy()] = counts.n.to_numpy()
-    return np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
+    every = max(1.0, frequency[-1])
+    return 1 + IDF_GAIN * np.log((1 + every) / (1 + frequency[:-1])) / np.log(1 + every)
 
 
 # Quantiles of the Gamma(2, 1) distribution and of its logarithm, from the series of its distribution function.
@@ -199,10 +202,10 @@ def weighted_jaccard(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndar
     return float(shared / union) if union else 1.0
 
 
-def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 9, rows: int = 3, rounds: int = 6):
+def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4, rounds: int = 3):
     """(documents with ``t1``, ``t2``; representatives ``rep``, ``t1``, ``t2``, ``class_id``; links ``a``, ``b``, ``similarity``).
 
-    With 9 bands of 3 samples, texts of similarity 0.8 become candidates with probability 0.998, of 0.9 with 0.99999.
+    With 12 bands of 4 samples, texts of similarity 0.8 become candidates with probability 0.998, of 0.9 with 0.99999.
     """
     idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(docs))  # IDF_CELLS numbers
     signed = settle(signatures(docs, idf, bands, rows))
@@ -211,61 +214,56 @@ def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 9, rows: in
     unpivoted = texts.where("b0 IS NOT NULL").select(
         "rep", F.stack(F.lit(bands), *(part for at, b in enumerate(names) for part in (F.lit(at), F.col(b)))).alias("band", "key")
     )
-    shared = settle(unpivoted.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1"))
-    members = settle(unpivoted.join(shared.select("band", "key", "pivot"), ["band", "key"]))
-    spark = docs.sparkSession
-    links = spark.range(0).selectExpr("id AS a", "id AS b", "CAST(id AS DOUBLE) AS similarity")
-    done = links.select("a", "b")
-    candidates = None
-    labels = members.select("rep").distinct().select(F.col("rep").alias("node"), F.col("rep").alias("class_id"))
-    pairs = members.where("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    shared = unpivoted.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
+    members = settle(unpivoted.join(settle(shared.select("band", "key", "pivot")), ["band", "key"]))
+    pairs = settle(members.where("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    candidates = settle(
+        docs.select(own_id().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        .join(wanted.hint("merge"), "doc_id", "left_semi")
+        .dropDuplicates(["doc_id"])
+    )
+    links, done = settle(_verified(pairs, candidates, idf, threshold)), pairs
+    labels = components(links)
     for nth in range(rounds):
-        pairs = settle(pairs.join(done, ["a", "b"], "left_anti"))
-        if not pairs.limit(1).count():
-            break
-        if candidates is None:
-            wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-            candidates = settle(
-                docs.select(own_id().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-                .join(wanted, "doc_id", "left_semi")
-                .dropDuplicates(["doc_id"])
-            )
-        with_b = pairs.join(candidates.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        with_a = with_b.join(candidates.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        found = settle(with_a.select("a", "b", "ta", "tb").mapInArrow(_similar(idf, threshold), "a long, b long, similarity double"))
-        done = settle(done.unionByName(pairs))
-        if nth and not found.limit(1).count():
+        pairs = settle(_other_pivots(members, labels, nth).join(done, ["a", "b"], "left_anti"))
+        found = settle(_verified(pairs, candidates, idf, threshold))
+        if not found.limit(1).count():
             break
-        links = settle(links.unionByName(found))
-        named = components(links)
-        labels = settle(
-            members.select("rep").distinct().join(named, F.col("rep") == F.col("node"), "left")
-            .select(F.col("rep").alias("node"), F.coalesce("class_id", "rep").alias("class_id"))
-        )
-        pairs = _other_pivots(members, labels, nth)
-    named = labels.select(F.col("node").alias("rep"), "class_id")
-    classes = texts.select("t1", "t2", "rep").join(named, "rep", "left").select(
+        links, done = links.unionByName(found), done.unionByName(pairs)
+        labels = components(links)
+    classes = texts.select("t1", "t2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "t1", "t2", "rep", F.coalesce("class_id", "rep").alias("class_id")
     )
     return signed, settle(classes), links
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """The pairs whose texts are similar. Joined by sorting at every size, so that pairs of one text come together."""
+    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
+    with_a = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).hint("merge"), "a")
+    return with_a.select("a", "b", "ta", "tb").mapInArrow(_similar(idf, threshold), "a long, b long, similarity double")
+
+
 def _other_pivots(members: DataFrame, labels: DataFrame, nth: int) -> DataFrame:
     """New pairs between the classes of each bucket that holds several: a text of each, drawn anew in every round, with
     one of the next class and one of the bucket's largest class."""
     order = F.xxhash64(F.lit(nth), "rep")
-    held = members.join(labels.withColumnRenamed("node", "rep"), "rep").groupBy("band", "key", "class_id").agg(
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "class_id", F.coalesce("class_id", "rep")
+    )
+    held = named.groupBy("band", "key", "class_id").agg(
         F.min(F.struct(order.alias("o"), "rep")).alias("drawn"), F.count("*").alias("n")
     )
     several = held.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "drawn")).alias("top"))
-    mixed = held.join(settle(several.where("classes > 1")), ["band", "key"])
+    mixed = held.join(several.where("classes > 1"), ["band", "key"])
     ring = Window.partitionBy("band", "key").orderBy("class_id")
     mixed = mixed.withColumn("following", F.lead("drawn.rep").over(ring))
     ends = mixed.select(F.col("drawn.rep").alias("x"), F.explode(F.array("following", "top.drawn.rep")).alias("y"))
     return ends.where("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 9, rows: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4) -> DataFrame:
     """``doc_id``, ``class_id``, ``class_size`` and ``n_links`` (links of its text to other texts that were verified)."""
     signed, classes, links = link_texts(docs, threshold, bands, rows)
     degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
@@ -279,7 +277,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 9, row
     return signed.select("doc_id", "t1", "t2").join(looked_up, ["t1", "t2"]).select("doc_id", "class_id", "class_size", "n_links")
 
 
-def keep_first(docs: DataFrame, threshold: float = 0.8, bands: int = 9, rows: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4) -> DataFrame:
     """One row of ``docs`` per class: the one whose ``doc_id`` names it; of rows that repeat it, one."""
     _, classes, _ = link_texts(docs, threshold, bands, rows)
     names = {name: fresh(docs, f"_{name}") for name in ("t1", "t2", "rep")}
