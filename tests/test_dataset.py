@@ -185,3 +185,16 @@ def test_warmup_is_skipped_by_time_then_batch(spark):
     assert tuple(got) == (3, 120, 4.0, 240.0)
     assert tuple(bench_summary(df, 9).first()) == (0, 0, None, None)
     assert after_warmup(df, 0).count() == 6
+
+
+def test_training_batches_survive_repeated_keys(spark):
+    rows = spark.createDataFrame([(k % 5, k) for k in range(12)], "sourcePath long, n int")
+    got = dataset.training_batches(rows, 4).collect()
+    assert sorted(r.n for r in got) == list(range(12)) and sorted(r.position for r in got) == list(range(12))
+
+
+def test_a_repeated_key_cannot_be_moved(spark):
+    rows = [("a", "train", 0)] * 3 + [("b", "val", 0)]
+    df = spark.createDataFrame(rows, "sourcePath string, split string, labelId int")
+    with pytest.raises(Exception, match="repeated key"):
+        dataset.rebalance_validation(df, 3, classes=[0]).collect()

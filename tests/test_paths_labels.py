@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidelight.functions.labels import class_id, class_id_error, class_name, with_target_class
 from tidelight.functions.paths import (
+    has_target,
     image_glob,
     keep_images,
     keep_labeled,
@@ -44,6 +45,11 @@ def test_columns_come_from_the_last_segments(files):
     assert rows["train/NORMAL/noext"].extension == "noext"
 
 
+def test_the_class_pattern_equals_the_resolved_id(files):
+    resolved = {r.path for r in with_target_class(files).where("labelId IS NOT NULL").collect()}
+    assert {r.path for r in files.where(has_target(F.col("path"))).collect()} == resolved and len(resolved) > 4
+
+
 def test_path_patterns_equal_the_column_filters(files):
     """The pushed-down patterns keep exactly what the derived columns would."""
     by_column = F.col("extension").isin("jpg", "jpeg", "png")

@@ -1,4 +1,5 @@
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from tidelight.functions.storage import locate
 from tidelight.operators.batches import bench_summary
 from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans.inputs import png
+from tidelight.session import work_folder
 from tidelight.sinks.deposit import deposit, replay
 from tidelight.sinks.tables import append_batch, quarantine_empty
 from tidelight.sources import tables
@@ -117,13 +119,11 @@ def test_bounded_run_stops_and_telemetry_is_written(spark, tmp_path):
 
 def test_warm_up_leaves_the_sinks_alone(spark, tmp_path):
     cfg = config(tmp_path)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        warm_up(spark, cfg, MODEL)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    shared = Path(locate(work_folder(spark, "x"))[1]).parent
+    before = {p.name for p in shared.iterdir()} if shared.exists() else set()
+    warm_up(spark, cfg, MODEL)
     assert not (tmp_path / "out").exists()
-    assert not [p for p in (tmp_path / "shared").rglob("*") if p.is_file()]
+    assert {p.name for p in shared.iterdir()} == before
 
 
 def test_missing_sinks_have_no_rows(spark, tmp_path):
@@ -174,6 +174,7 @@ def test_deposits_get_fresh_names(spark, tmp_path):
         assert deposit(plan, str(tmp_path / "zone"), 2) == 3
     names = sorted(p.name for p in (tmp_path / "zone" / "val" / "PNEUMONIA").iterdir())
     assert len(names) == 6 and all("_virus_f" in n for n in names)
+    assert not list((tmp_path / "zone" / "_staging").iterdir())
 
 
 @pytest.mark.parametrize("uri", ["file:/tmp/x", "file:///tmp/x", "/tmp/x"])

@@ -79,6 +79,16 @@ def keep_labeled(
     return df.where(is_labeled(F.col(path_col), splits, labels, extensions))
 
 
+def has_target(path: Column) -> Column:
+    """Whether the folder and the file name lead to a class, told from the path alone (see ``labels.target_label``).
+
+    Filter on this instead of the resolved id: a filter on the id repeats all that the id is made of.
+    """
+    # The folder names and the words of the subtypes.
+    kinds = r"NORMAL[/\\][^/\\]*|PNEUMONIA[/\\][^/\\]*(?i:bacteria|virus)[^/\\]*"
+    return path.rlike(rf"(?:^|[/\\])(?:{kinds})$")
+
+
 def relative_target(mode: str) -> Column:
     """Where a replayed file goes below the landing zone: a tree for ``train``, flat for ``infer``."""
     if mode == "train":

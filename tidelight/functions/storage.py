@@ -5,11 +5,18 @@ from __future__ import annotations
 import re
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 _REMOTE = re.compile(r"^([a-z][a-z0-9+.-]*)://([^/]*)(/.*)$")
 _LOCAL = re.compile(r"^file:(//)?(?=/)")
 
 
+def qualify(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark would read it by; to be called in the driver, before :func:`locate`."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return plain.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(plain).toString()
+
+
 def locate(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path inside it, for the URI spellings that Spark uses."""
     path = _LOCAL.sub("", path)

@@ -190,6 +190,7 @@ def rebalance_validation(
     wide rows are neither shuffled nor joined by key. The cut-offs are found at
     once and written down, so later uses of the result do not repeat the search.
     With ``on_shortfall="take_all"`` a class that is too small gives what it has.
+    ``key`` must identify the rows: a key that is chosen twice for a class is an error.
     """
     need = val_missing(df, target, classes, label, split)
     if on_shortfall == "error":
@@ -208,7 +209,10 @@ def rebalance_validation(
     few = len(classes) <= MAX_CLASSES if classes is not None else _is_few(class_ids(df, label))
     train = df.where(F.col(split) == "train")
     chosen = sample_per_class(train, need.select(label, asked.alias("need")), key, label, seed, few)
-    cut = settle(chosen.groupBy(label).agg(F.max(F.struct("hash", key)).alias("_cut")))
+    again = F.raise_error(F.concat(F.lit("repeated key "), F.max(F.col(key).cast("string")))).cast("long")
+    once = chosen.groupBy(label, "hash", key).agg(F.count("*").alias("_n"))
+    once = once.groupBy(label, "hash", key).agg(F.when(F.max("_n") > 1, again).otherwise(F.lit(1)).alias("_n"))
+    cut = settle(once.groupBy(label).agg(F.max(F.struct("hash", key)).alias("_cut"), F.sum("_n").alias("_sum"))).drop("_sum")
     marked = df.join(F.broadcast(cut) if few else cut, label, "left")
     moves = (F.col(split) == "train") & (F.struct(sample_key(key, seed), F.col(key)) <= F.col("_cut"))
     changed = F.when(moves, "val").otherwise(F.col(split))
@@ -246,11 +250,14 @@ def training_batches(
 ) -> DataFrame:
     """Shuffle rows by a seeded hash and number batches of consecutive rows.
 
-    Only the keys are sorted and numbered; the wide rows move once, in the join.
+    Only the keys are sorted and numbered; the wide rows move once, in the join. Rows that share a key are told apart by
+    a number of their own, so every row gets one position; which of them comes first is left open.
     """
-    keys = df.select(key).withColumn("_order", sample_key(key, seed))
-    numbered = with_row_index(keys, "_order", key, name="position").drop("_order")
-    return df.join(numbered, key).withColumn("batchNo", F.floor(F.col("position") / batch_size))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))).alias("_nth")
+    keys = df.select(key, nth).withColumn("_order", sample_key(key, seed))
+    numbered = with_row_index(keys, "_order", key, "_nth", name="position").drop("_order")
+    placed = df.select("*", nth).join(numbered, [key, "_nth"]).drop("_nth")
+    return placed.withColumn("batchNo", F.floor(F.col("position") / batch_size))
 
 
 def load_set(originals: DataFrame, n: int, key: str = "path", extension: str = "jpeg") -> DataFrame:

@@ -24,8 +24,6 @@ from tidelight.session import settle
 # Steps of a filled gap that one generator row may emit.
 _FILL_BLOCK = 4_096
 _US_PER_SECOND = 1_000_000
-# Step for scans over distinct microseconds: a stretch then spans 65 seconds.
-_MILLISECOND = 1_000
 
 
 def queue_events(
@@ -53,7 +51,7 @@ def queue_changes(events: DataFrame) -> DataFrame:
     """Queue level after the last event of each distinct instant: ``(t, level)``."""
     kind = type_of(events, "t")
     net = events.groupBy(epoch_us(F.col("t")).alias("us")).agg(F.sum("delta").alias("net"))
-    scanned = ordered_scan(net, "us", _MILLISECOND, running=["net"])
+    scanned = ordered_scan(settle(net), "us", running=["net"], levels=2)
     return scanned.select(from_epoch_us(F.col("us"), kind).alias("t"), F.col("net_run").alias("level"))
 
 
@@ -108,8 +106,8 @@ def events_per_bucket(
 def event_gaps(df: DataFrame, ts: str) -> DataFrame:
     """Distinct instants with the seconds since the instant before: ``(ts, gapSeconds)``."""
     kind = type_of(df, ts)
-    instants = df.na.drop(subset=[ts]).select(epoch_us(F.col(ts)).alias("us")).distinct()
-    scanned = ordered_scan(instants.withColumn("at", F.col("us")), "us", _MILLISECOND, previous=["at"])
+    instants = settle(df.na.drop(subset=[ts]).select(epoch_us(F.col(ts)).alias("us")).distinct())
+    scanned = ordered_scan(instants.withColumn("at", F.col("us")), "us", previous=["at"], levels=2)
     gap = (F.col("us") - F.col("at_prev")) / F.lit(1_000_000.0)
     return scanned.select(from_epoch_us(F.col("us"), kind).alias(ts), gap.alias("gapSeconds"))
 

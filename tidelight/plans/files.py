@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelight.functions.labels import class_name, with_label_id, with_label_name, with_target_class
-from tidelight.functions.paths import keep_images, keep_labeled, relative_target, strip_scheme, with_path_columns
+from tidelight.functions.paths import has_target, keep_images, keep_labeled, relative_target, strip_scheme, with_path_columns
 from tidelight.operators.dataset import load_set
 from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans import inputs as i
@@ -37,7 +37,7 @@ SELECT path AS "sourcePath", split, label, "fileName", target AS "targetLabel",
   target AS "className" FROM targets WHERE target IS NOT NULL""")
 def labeled_files(spark, sf_dir):
     files = with_target_class(keep_labeled(with_path_columns(i.paths(spark, sf_dir))))
-    return files.where("labelId IS NOT NULL").select(
+    return files.where(has_target(F.col("path"))).select(
         F.col("path").alias("sourcePath"), "split", "label", "fileName", "targetLabel", "labelId",
         class_name(F.col("labelId")).alias("className"),
     )
@@ -50,7 +50,7 @@ SELECT path AS "sourcePath", CASE WHEN label = 'PNEUMONIA'
 FROM targets WHERE target IS NULL""")
 def label_rejects(spark, sf_dir):
     files = with_target_class(keep_images(with_path_columns(i.paths(spark, sf_dir))))
-    return files.where("labelId IS NULL").select(
+    return files.where(~has_target(F.col("path"))).select(
         F.col("path").alias("sourcePath"), F.col("labelError").alias("error")
     )
 

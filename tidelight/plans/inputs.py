@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelight.session import work_folder
-from tidelight.functions.storage import locate
+from tidelight.functions.storage import locate, qualify
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -182,7 +182,7 @@ def image_tree(
 
     Executors write the files. ``place`` is the path below the folder.
     """
-    folder = folder or work_folder(spark, "images")
+    folder = qualify(spark, folder or work_folder(spark, "images"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = locate(folder)
