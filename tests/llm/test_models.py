@@ -193,6 +193,12 @@ def test_sketches_recover_what_differs():
             assert set(mine) == set(a) - set(b) and set(yours) == set(b) - set(a)
 
 
+def test_digests_differ_within_a_text():
+    text = "\n".join(f"{a}{b}!" for _ in range(40) for a in "ABCDEF" for b in "ABCDEF") + "\nA!" * 500
+    digests = fingerprints.paragraph_digests(text)
+    assert len(digests) == len(set(digests)) == 40 * 36 + 500
+
+
 def test_fingerprints_of_neighbours(given):
     rows = {r.doc_id: r.text for r in given.select("doc_id", "text").collect()}
     for ranges in (1, 7):

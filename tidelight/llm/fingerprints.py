@@ -24,97 +24,124 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelight.llm import words as w
+
 _SENTENCE = re.compile(r"\n|(?<=[.!?])\s")
 PARTS = 3
 BASE_CELLS = 8  # in each part
-_MASK = 2**64 - 1
 
 
 def paragraph_digests(text: str) -> list[int]:
-    """Digests of the paragraphs with content; the n-th repeat has a digest of its own."""
+    """Different digests of the paragraphs with content; the n-th repeat has a digest of its own.
+
+    The number of a repeat is hashed with the text, not taken as the hash's seed: seeds of short texts give equal digests for
+    different texts, and a digest that occurs twice cannot be peeled.
+    """
     seen: dict[str, int] = {}
-    digests = []
+    digests: dict[int, None] = {}
     for piece in _SENTENCE.split(text):
         piece = piece.strip()
         if piece:
             nth = seen.get(piece, 0)
             seen[piece] = nth + 1
-            digests.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"), nth))
-    return digests
-
-
-def _check(digest: int) -> int:
-    return ((digest * 0x9FB21C651E98DF25 & _MASK) >> 32) ^ (digest & 0xFFFFFFFF)
-
-
-def _cells(digest: int, size: int) -> tuple[int, int, int]:
-    mixed = (digest ^ digest >> 29) * 0xD6E8FEB86659FD93 & _MASK
-    return mixed % size, size + (mixed >> 20) % size, 2 * size + (mixed >> 40) % size
-
-
-class Sketch:
-    """Counts, digest sums and check sums of ``PARTS`` times ``size`` cells."""
-
-    __slots__ = ("size", "counts", "digests", "checks")
-
-    def __init__(self, size: int) -> None:
-        self.size = size
-        self.counts = [0] * (PARTS * size)
-        self.digests = [0] * (PARTS * size)
-        self.checks = [0] * (PARTS * size)
-
-    @classmethod
-    def of(cls, digests: list[int], size: int) -> Sketch:
-        sketch = cls(size)
-        for digest in digests:
-            sketch.add(digest, 1)
-        return sketch
-
-    def add(self, digest: int, count: int) -> tuple[int, int, int]:
-        check, cells = _check(digest), _cells(digest, self.size)
-        for at in cells:
-            self.counts[at] += count
-            self.digests[at] ^= digest
-            self.checks[at] ^= check
-        return cells
-
-    def minus(self, other: Sketch) -> Sketch:
-        out = Sketch(self.size)
-        out.counts = [a - b for a, b in zip(self.counts, other.counts)]
-        out.digests = [a ^ b for a, b in zip(self.digests, other.digests)]
-        out.checks = [a ^ b for a, b in zip(self.checks, other.checks)]
+            while (digest := xxhash.xxh3_64_intdigest(f"{piece}\n{nth}".encode("utf-8", "surrogatepass"))) in digests:
+                nth += 1  # as if repeated: the same for equal texts
+            digests[digest] = None
+    return list(digests)
+
+
+def _check(digests: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return w.mix(digests * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
+
+
+class Sketches:
+    """Many sketches in one: counts, digest sums and check sums of the ``PARTS * sizes[i]`` cells of each sketch i."""
+
+    def __init__(self, sizes: np.ndarray) -> None:
+        self.sizes = sizes
+        self.offsets = np.concatenate([[0], np.cumsum(PARTS * sizes)])
+        self.counts = np.zeros(self.offsets[-1], np.int64)
+        self.digests = np.zeros(self.offsets[-1], np.uint64)
+        self.checks = np.zeros(self.offsets[-1], np.uint64)
+
+    def cells(self, owner: np.ndarray, digests: np.ndarray) -> np.ndarray:
+        """One cell in each part, by row."""
+        size = self.sizes[owner].astype(np.uint64)
+        mixed = w.mix(digests)
+        picks = [mixed >> np.uint64(21 * part) & np.uint64((1 << 21) - 1) for part in range(PARTS)]
+        places = [(pick % size).astype(np.int64) + part * self.sizes[owner] for part, pick in enumerate(picks)]
+        return np.stack(places, 1) + self.offsets[owner][:, None]
+
+    def add(self, owner: np.ndarray, digests: np.ndarray, counts: np.ndarray) -> None:
+        at = self.cells(owner, digests).reshape(-1)
+        np.add.at(self.counts, at, np.repeat(counts, PARTS))
+        np.bitwise_xor.at(self.digests, at, np.repeat(digests, PARTS))
+        np.bitwise_xor.at(self.checks, at, np.repeat(_check(digests), PARTS))
+
+    def minus(self, other: Sketches) -> Sketches:
+        out = Sketches(self.sizes)
+        out.counts = self.counts - other.counts
+        out.digests = self.digests ^ other.digests
+        out.checks = self.checks ^ other.checks
         return out
 
-    def peel(self) -> tuple[list[int], list[int]] | None:
-        """Digests of the first version alone and of the second alone; None if some cannot be told. Empties the sketch."""
-        ours, theirs = [], []
-        waiting = list(range(PARTS * self.size))
-        while waiting:
-            at = waiting.pop()
-            count, digest = self.counts[at], self.digests[at]
-            if (count == 1 or count == -1) and _check(digest) == self.checks[at] and at in _cells(digest, self.size):
-                (ours if count == 1 else theirs).append(digest)
-                waiting += self.add(digest, -count)
-        return None if any(self.counts) or any(self.digests) else (ours, theirs)
-
-    def text(self) -> str:
-        """The cells as hex, the same for the same set of digests."""
-        cells = np.zeros(PARTS * self.size, [("count", "<i4"), ("digest", "<u8"), ("check", "<u4")])
-        cells["count"], cells["digest"], cells["check"] = self.counts, self.digests, self.checks
-        return cells.tobytes().hex()
-
-
-def difference(first: list[int], second: list[int], size: int = BASE_CELLS) -> tuple[list[int], list[int]]:
-    """Digests that only one of two versions has, by subtracting sketches; larger ones after a failure."""
-    while True:
-        found = Sketch.of(first, size).minus(Sketch.of(second, size)).peel()
-        if found is not None:
-            return found
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Owner, digest and count (1: first version alone, -1: second) of what is recovered, and which sketches ended empty."""
+        of_cell = np.repeat(np.arange(len(self.sizes)), PARTS * self.sizes)
+        owners, found, signs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        while True:
+            at = np.flatnonzero(np.abs(self.counts) == 1)
+            at = at[_check(self.digests[at]) == self.checks[at]]
+            at = at[(self.cells(of_cell[at], self.digests[at]) == at[:, None]).any(1)]
+            with np.errstate(over="ignore"):
+                _, once = np.unique(w.mix(self.digests[at] + w.mix(of_cell[at].astype(np.uint64))), return_index=True)
+            at = at[once]
+            if not len(at):
+                break
+            owner, digests, counts = of_cell[at], self.digests[at], self.counts[at]
+            self.add(owner, digests, -counts)
+            owners.append(owner), found.append(digests), signs.append(counts)
+        left = (self.counts != 0) | (self.digests != 0)
+        empty = np.bincount(of_cell[left], minlength=len(self.sizes)) == 0
+        return np.concatenate(owners), np.concatenate(found), np.concatenate(signs), empty
+
+    def texts(self) -> list[str]:
+        """Each sketch's cells as hex, the same for the same digests."""
+        cells = np.zeros(len(self.counts), [("count", "<i4"), ("digest", "<u8"), ("check", "<u4")])
+        cells["count"], cells["digest"], cells["check"] = self.counts, self.digests, self.checks >> np.uint64(32)
+        return [cells[a:b].tobytes().hex() for a, b in zip(self.offsets[:-1], self.offsets[1:])]
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    return owner, np.array([digest for x in lists for digest in x], np.uint64)
+
+
+def sketches(digests: list[list[int]], size: int = BASE_CELLS) -> Sketches:
+    out = Sketches(np.full(len(digests), size))
+    owner, flat = _flat(digests)
+    out.add(owner, flat, np.ones(len(flat), np.int64))
+    return out
+
+
+def differences(first: list[list[int]], second: list[list[int]], size: int = BASE_CELLS) -> list[tuple[list[int], list[int]]]:
+    """For each pair of versions the digests that only the first and that only the second has: their sketches are
+    subtracted and peeled, and those that fail are made anew with twice the cells."""
+    out: list[tuple[list[int], list[int]]] = [([], []) for _ in first]
+    waiting = list(range(len(first)))
+    while waiting:
+        mine, yours = [first[i] for i in waiting], [second[i] for i in waiting]
+        owners, found, signs, empty = sketches(mine, size).minus(sketches(yours, size)).peel()
+        for owner, digest, sign in zip(owners.tolist(), found.tolist(), signs.tolist()):
+            if empty[owner]:
+                out[waiting[owner]][sign < 0].append(digest)
+        waiting = [i for i, done in zip(waiting, empty.tolist()) if not done]
         size *= 2
+    return out
 
 
-def likeness(first: list[int], second: list[int]) -> float:
-    only_first, only_second = difference(first, second)
+def likeness(first: list[int], only_first: list[int], only_second: list[int]) -> float:
     shared = len(first) - len(only_first)
     union = shared + len(only_first) + len(only_second)
     return shared / union if union else 1.0
@@ -135,34 +162,28 @@ _RESULT = (
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by range and descending id, each followed by the text after it; guests are followed only."""
     last: tuple | None = None  # range, id, text, digests of the row that waits for the next
-
-    def finish(row: tuple, text: str, digests: list[int]) -> tuple:
-        _, doc_id, own, own_digests = row
-        new = edited(own, text)
-        new_digests = paragraph_digests(new)
-        only_own, only_new = difference(own_digests, new_digests)
-        shared = len(own_digests) - len(only_own)
-        union = shared + len(only_own) + len(only_new)
-        return (
-            doc_id, len(own), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(),
-            Sketch.of(own_digests, BASE_CELLS).text(), Sketch.of(new_digests, BASE_CELLS).text(),
-            shared / union if union else 1.0, likeness(own_digests, digests), len(own_digests), len(only_new), len(only_own),
-        )
-
+    names = [field.split()[0] for field in _RESULT.split(", ")]
+    kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, *[pa.int64()] * 3]
     for batch in batches:
-        rows = []
-        for part, guest, doc_id, text in zip(*(batch.column(n).to_pylist() for n in ("part", "guest", "doc_id", "text"))):
-            digests = paragraph_digests(text)
-            if last is not None and last[0] == part:
-                rows.append(finish(last, text, digests))
-            last = None if guest else (part, doc_id, text, digests)
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(
-                    zip(*rows), [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, *[pa.int64()] * 3]
-                )],
-                names=[field.split()[0] for field in _RESULT.split(", ")],
-            )
+        for start, texts in w.chunks(batch.column("text"), 1 << 20):
+            others = (batch.column(n).slice(start, len(texts)).to_pylist() for n in ("part", "guest", "doc_id"))
+            heads, own, new, following = [], [], [], []
+            for part, guest, doc_id, text in zip(*others, texts):
+                text = text.as_py()
+                digests = paragraph_digests(text)
+                if last is not None and last[0] == part:
+                    change = edited(last[2], text)
+                    heads.append((last[1], len(last[2]), hashlib.sha256(change.encode("utf-8", "surrogatepass")).hexdigest()))
+                    own.append(last[3]), new.append(paragraph_digests(change)), following.append(digests)
+                last = None if guest else (part, doc_id, text, digests)
+            if not heads:
+                continue
+            to_new, to_next = differences(own, new), differences(own, following)
+            rows = [
+                (*head, print_, new_print, likeness(mine, *d), likeness(mine, *e), len(mine), len(d[1]), len(d[0]))
+                for head, print_, new_print, mine, d, e in zip(heads, sketches(own).texts(), sketches(new).texts(), own, to_new, to_next)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
 
 
 def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -182,25 +203,29 @@ def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFra
     cuts = rows.agg(F.percentile_approx("key", F.array(*map(F.lit, steps)), 10 * ranges).alias("c")).head().c if steps else []
     bounds = np.unique(np.array(cuts or [], np.int64))  # as many as there are ranges
 
+    def place(keys: np.ndarray) -> np.ndarray:
+        # Descending ids: the range of the largest is 0.
+        return (len(bounds) - np.searchsorted(bounds, keys, side="right")).astype(np.int32)
+
     @F.arrow_udf("int")
     def range_of(keys: pa.Array) -> pa.Array:
-        # Descending ids: the range of the largest is 0.
-        at = len(bounds) - np.searchsorted(bounds, keys.to_numpy(zero_copy_only=False), side="right")
-        return pa.array(at.astype(np.int32))
+        return pa.array(place(keys.to_numpy(zero_copy_only=False)))
 
-    placed = rows.withColumn("part", range_of("key"))
-    firsts = placed.groupBy("part").agg(F.max("key").alias("key")).orderBy("part").collect()  # one per range
-    order = [row.part for row in firsts]
+    firsts = rows.select("key").groupBy(range_of("key").alias("part")).agg(F.max("key").alias("key")).orderBy("part").collect()
+    order = [row.part for row in firsts]  # as many as there are ranges
     before = {row.key: order[at - 1] for at, row in enumerate(firsts)}  # the first range follows the last
 
-    @F.arrow_udf("int")
-    def host_of(keys: pa.Array) -> pa.Array:
-        return pa.array([before.get(key) for key in keys.to_pylist()], pa.int32())
-
-    own = F.struct("part", F.lit(False).alias("guest"))
-    visit = F.struct(F.col("host").alias("part"), F.lit(True).alias("guest"))
-    targets = F.when(F.col("host").isNull(), F.array(own)).otherwise(F.array(own, visit))
-    dealt = placed.withColumn("host", host_of("key")).select(F.explode(targets).alias("to"), "key", "doc_id", "text")
+    # One call per row, so that a task needs one Python worker.
+    @F.arrow_udf("struct<part:int,host:int>")
+    def places(keys: pa.Array) -> pa.Array:
+        hosts = pa.array([before.get(key) for key in keys.to_pylist()], pa.int32())
+        return pa.StructArray.from_arrays([pa.array(place(keys.to_numpy(zero_copy_only=False))), hosts], ["part", "host"])
+
+    placed = rows.withColumn("at", places("key"))
+    own = F.struct(F.col("at.part").alias("part"), F.lit(False).alias("guest"))
+    visit = F.struct(F.col("at.host").alias("part"), F.lit(True).alias("guest"))
+    targets = F.when(F.col("at.host").isNull(), F.array(own)).otherwise(F.array(own, visit))
+    dealt = placed.select(F.explode(targets).alias("to"), "key", "doc_id", "text")
     dealt = dealt.select("to.part", "to.guest", "key", "doc_id", "text")
     # A guest comes behind all rows of the range that it visits, even if that is its own.
     ordered = dealt.repartition("part").sortWithinPartitions("part", "guest", F.desc("key"), "text")
