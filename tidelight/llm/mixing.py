@@ -109,7 +109,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, domains:
     ``max_calibration`` of them, drawn by a hash of their ids."""
     rows = labelled(labels, domain, domains)
     counting = rows.where("fold = 0")
-    found = docs.select("doc_id", "text").join(counting, "doc_id").select("d", "text")
+    found = docs.select("doc_id", "text").join(counting.hint("merge"), "doc_id").select("d", "text")  # one plan at every size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(domains) * CELLS, np.int64)
@@ -182,6 +182,8 @@ def solve_rates(
 ) -> tuple[list[list[float]], dict[str, list[float]]]:
     """The slopes of all rounds, from which every document's rate follows, and the domains' natural, target and final totals.
 
+    Ends when all totals meet their targets, or a round moves none of them, within ``tolerance`` of the budget.
+
     ``known`` has ``n_words`` and ``posterior``. ``budget``: total tokens wanted; None means so many that the
     domain of the largest weight is used as much as it is there.
     """
@@ -209,7 +211,9 @@ def solve_rates(
             state, rate, since = settle(state.withColumn("rate", rate)), F.col("rate"), 0
         use = F.col("n_words") * rate
         sums = [F.coalesce(F.sum(use * F.get("posterior", F.lit(d))), F.lit(0.0)).alias(f"s{d}") for d in range(len(domains))]
-        reached = np.array(list(state.agg(*sums).head()), float)
+        before, reached = reached, np.array(list(state.agg(*sums).head()), float)
+        if np.abs(reached - before).max() < tolerance * budget:
+            break
     return slopes, {name: [natural[d], target[d], reached[d]] for d, name in enumerate(domains)}
 
 
