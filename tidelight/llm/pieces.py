@@ -10,7 +10,8 @@ length of the end, so when the back pointers of all those positions lead to one
 final and is handed out.
 
 Where no piece can cross (a blank after another character, both sides of a line feed), the paths converge by
-themselves, whatever the scores; texts are cut there first, so that the ids of frequent words can be remembered.
+themselves, whatever the scores; texts are cut there first, so that the ids of frequent words can be remembered. Short stretches
+between such cuts that are new to a chunk of texts are searched side by side, as arrays; anything longer is streamed.
 
 * A null text gives null ids, an empty text no ids. The blank U+2581 of the text itself is written as bytes, so that
   decoding gives back every text exactly.
@@ -134,22 +135,112 @@ def stream_pieces(text: str, vocabulary: Vocabulary) -> Iterator[tuple[int, str]
         back += [base] * missing
 
 
+class _Arrays:
+    """The vocabulary's tree as arrays: edges by node and character, and each node's piece."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.chars = np.zeros(0x110000, np.int32)  # 0: in no piece
+        known = sorted({char for text in vocabulary.ids for char in text})
+        self.chars[[ord(char) for char in known]] = np.arange(1, len(known) + 1)
+        self.width = len(known) + 1
+        nodes, edges = [None], {}
+        waiting = [(0, vocabulary.tree, "")]
+        while waiting:
+            at, children, text = waiting.pop()
+            for char, (deeper, _) in children.items():
+                edges[at * self.width + int(self.chars[ord(char)])] = len(nodes)
+                waiting.append((len(nodes), deeper, text + char))
+                nodes.append(text + char)
+        self.keys = np.array(sorted(edges), np.int64)
+        self.targets = np.array([edges[key] for key in self.keys.tolist()], np.int64)
+        self.scores = np.array([vocabulary.scores.get(text, np.nan) if text else np.nan for text in nodes])
+        self.ids = np.array([vocabulary.ids.get(text, -1) if text else -1 for text in nodes], np.int32)
+        self.single = np.zeros(self.width, bool)  # characters that are pieces themselves
+        self.single[[self.chars[ord(char)] for char in known if char in vocabulary.ids]] = True
+        self.longest = vocabulary.longest
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node after each character, or -1."""
+        keys = nodes * self.width + chars
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.targets[at], -1)
+
+    def search(self, words: list[str]) -> tuple[np.ndarray, list[bytes | None]]:
+        """Ids of each word's best cut, as bytes; None for words with characters that are no pieces."""
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        lengths = np.array(list(map(len, words)))
+        order = np.argsort(-lengths, kind="stable")  # the longest first, so that those still going are in front
+        ends = np.cumsum(lengths)
+        lengths = lengths[order]
+        most = int(lengths[0])
+        chars = np.zeros((len(words), most + 1), np.int32)
+        rows = np.repeat(np.arange(len(words)), lengths)
+        columns = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        chars[rows, columns] = self.chars[points[np.repeat(ends[order] - lengths, lengths) + columns]]
+        plain = np.ones(len(words), bool)
+        plain[rows[~self.single[chars[rows, columns]]]] = False
+        best = np.full((len(words), most + 1), _NEVER)
+        best[:, 0] = 0.0
+        back = np.zeros((len(words), most + 1), np.int32)
+        piece = np.full((len(words), most + 1), -1, np.int32)
+        going = len(words) - np.searchsorted(lengths[::-1], np.arange(most), side="right")  # longer than each position
+        for start in range(most):
+            alive = np.arange(going[start])
+            nodes = np.zeros(len(alive), np.int64)
+            for end in range(start, min(most, start + self.longest)):
+                nodes = self.step(nodes, chars[alive, end])
+                on = nodes >= 0
+                alive, nodes = alive[on], nodes[on]
+                if not len(alive):
+                    break
+                total = best[alive, start] + self.scores[nodes]
+                better = total > best[alive, end + 1]  # not a number where no piece ends
+                at = alive[better]
+                best[at, end + 1], back[at, end + 1], piece[at, end + 1] = total[better], start, self.ids[nodes[better]]
+        ids = np.full((len(words), most), -1, np.int32)  # from the right
+        place = lengths.astype(np.int64)
+        column = most
+        open_rows = np.flatnonzero(plain)
+        while len(open_rows):
+            column -= 1
+            ids[open_rows, column] = piece[open_rows, place[open_rows]]
+            place[open_rows] = back[open_rows, place[open_rows]]
+            open_rows = open_rows[place[open_rows] > 0]
+        filled = ids >= 0
+        stops = np.cumsum(filled.sum(1)) * 4
+        flat = ids[filled].tobytes()
+        found = [flat[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())]
+        return order, [bytes_ if ok else None for bytes_, ok in zip(found, plain.tolist())]
+
+
 class _Memory(dict):
     """Ids of words met before, as bytes; forgets everything when full."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.arrays = _Arrays(vocabulary)
 
     def __missing__(self, word: str) -> bytes:
         ids = [number for _, piece in stream_pieces(word, self.vocabulary) for number in self.vocabulary.emit(piece)]
         packed = np.array(ids, np.int32).tobytes()
         if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
             self[word] = packed
         return packed
 
+    def learn(self, words: set[str]) -> None:
+        """Remember the short ones of these words."""
+        new = [word for word in words if word not in self and len(word) <= REMEMBERED_LENGTH]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = [word for word in words if len(word) <= REMEMBERED_LENGTH]
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
+            order, found = self.arrays.search(part)
+            for at, packed in zip(order.tolist(), found):
+                if packed is not None:
+                    self[part[at]] = packed
+
 
 @lru_cache(2)
 def _vocabulary(path: str) -> Vocabulary:
@@ -161,10 +252,11 @@ def _memory(path: str) -> _Memory:
     return _Memory(_vocabulary(path))
 
 
-def encode_text(text: str, path: str) -> np.ndarray:
+def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     memory = _memory(path)
-    parts = memory.vocabulary.cut.findall(" " + text) if text else []
-    return np.frombuffer(b"".join(map(memory.__getitem__, parts)), np.int32)
+    parts = [memory.vocabulary.cut.findall(" " + text) if text else [] for text in texts]
+    memory.learn(set().union(*parts))
+    return [np.frombuffer(b"".join(map(memory.__getitem__, part)), np.int32) for part in parts]
 
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
@@ -175,19 +267,19 @@ def encode(docs: DataFrame, model: str, text: str = "text", to: str = "ids") ->
     """``docs`` with the ids of each text in the column ``to`` (array of int)."""
 
     @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    def to_ids(texts: pa.Array) -> pa.Array:
         offsets, parts, total = [0], [np.zeros(0, np.int32)], 0
         for _, part in w.chunks(texts):
-            for value in part.to_pylist():
-                parts.append(encode_text(value or "", model))
-                total += len(parts[-1])
+            for ids in encode_texts([value or "" for value in part.to_pylist()], model):
+                parts.append(ids)
+                total += len(ids)
                 offsets.append(total)
         lists = pa.ListArray.from_arrays(
             pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts)), mask=texts.is_null()
         )
         return lists
 
-    return docs.withColumn(to, ids(F.col(text)))
+    return docs.withColumn(to, to_ids(F.col(text)))
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", to: str = "text") -> DataFrame:
