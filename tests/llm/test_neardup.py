@@ -156,3 +156,18 @@ def test_passages_of_awkward_rows(awkward, nothing):
     linked = {frozenset((r.doc_id, r.other_id)) for r in got}
     assert {x for pair in linked for x in pair} >= {1, 2, 15} and all(r.doc_id != r.other_id for r in got)
     assert passages.repeated_passages(nothing).count() == 0
+
+
+def test_a_pair_behind_two_pivots_that_do_not_hold_the_passage_is_linked(spark):
+    # All runs of five words of the passage also stand in texts 1 and 999, each in a context of its own.
+    (passage,) = variants(70, 60, 1, 0)
+    words = passage.split(" ")
+    texts = {k: " ".join([next(variants(80 + k, 90, 1, 0)), passage, next(variants(180 + k, 90, 1, 0))]) for k in (50, 51)}
+    for k in (1, 999):
+        parts = [" ".join([next(variants(3_000 + 100 * k + at, 60, 1, 0)), *words[at : at + 12]]) for at in range(0, 56, 4)]
+        texts[k] = " ".join([*parts, next(variants(9_000 + k, 60, 1, 0))])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = passages.repeated_passages(docs).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in got} == {frozenset((50, 51))}
+    for r in got:
+        assert texts[r.doc_id][r.start : r.stop] == texts[r.other_id][r.other_start : r.other_stop] == passage
