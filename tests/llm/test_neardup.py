@@ -171,3 +171,29 @@ def test_a_pair_behind_two_pivots_that_do_not_hold_the_passage_is_linked(spark):
     assert {frozenset((r.doc_id, r.other_id)) for r in got} == {frozenset((50, 51))}
     for r in got:
         assert texts[r.doc_id][r.start : r.stop] == texts[r.other_id][r.other_start : r.other_stop] == passage
+
+
+def test_every_occurrence_in_a_text_is_reported(spark):
+    (passage,) = variants(71, 60, 1, 0)
+    words = passage.split(" ")
+    filler = lambda k, n=90: next(variants(500 + k, n, 1, 0))
+    # The runs of five words of the passage, each earlier in a context of its own.
+    apart = " ".join(" ".join([filler(20 + at, 60), *words[at : at + 12]]) for at in range(0, 56, 4))
+    texts = {
+        1: " ".join([filler(1), passage, filler(2)]), 2: " ".join([filler(3), passage, filler(4, 200), passage, filler(5)]),
+        3: " ".join([apart, filler(6), passage, filler(7)]),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    places = set()
+    for r in passages.repeated_passages(docs).collect():
+        assert texts[r.doc_id][r.start : r.stop] == texts[r.other_id][r.other_start : r.other_stop] == passage
+        places |= {(r.doc_id, r.start), (r.other_id, r.other_start)}
+    second = texts[2].rindex(passage)
+    assert places == {(k, text.index(passage)) for k, text in texts.items()} | {(2, second)}
+
+
+def test_both_runs_with_more_occurrences_on_either_side():
+    once = np.arange(100, 160).astype(np.uint64)
+    twice = np.concatenate([once, np.arange(1_000, 1_030).astype(np.uint64), once])
+    assert {x[:4] for x in passages.both_runs(once, twice, 46, 0.8)} == {(0, 59, 0, 59), (0, 59, 90, 149)}
+    assert {x[:4] for x in passages.both_runs(twice, once, 46, 0.8)} == {(0, 59, 0, 59), (90, 149, 0, 59)}
