@@ -197,3 +197,26 @@ def test_both_runs_with_more_occurrences_on_either_side():
     twice = np.concatenate([once, np.arange(1_000, 1_030).astype(np.uint64), once])
     assert {x[:4] for x in passages.both_runs(once, twice, 46, 0.8)} == {(0, 59, 0, 59), (0, 59, 90, 149)}
     assert {x[:4] for x in passages.both_runs(twice, once, 46, 0.8)} == {(0, 59, 0, 59), (90, 149, 0, 59)}
+
+
+def test_a_star_of_edits_that_are_similar_to_the_base_only(spark, monkeypatch):
+    # One bucket of all texts, so that only the choice of pairs counts.
+    def one_bucket(owner, hashes, weights, count):
+        rows = np.unique(owner)
+        return rows, np.zeros((len(rows), count), np.uint64)
+
+    monkeypatch.setattr(neardup, "samples", one_bucket)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(500, " ".join(base))]
+    for k in range(1_000):
+        text = list(base)
+        at = rng.randrange(280)
+        text[at : at + 20] = [f"c{k}_{n}" for n in range(20)]
+        rows.append((k if k < 500 else k + 1, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    idf = neardup.inverse_frequencies(docs)
+    weighed = {k: neardup._weigh(pa.array([text]), idf) for k, text in rows}
+    assert all(neardup.weighted_jaccard(weighed[500], other) >= 0.8 for other in weighed.values())
+    assert sum(neardup.weighted_jaccard(weighed[0], other) >= 0.8 for other in weighed.values()) < 500
+    assert {r.class_id for r in neardup.near_duplicates(docs).collect()} == {0}

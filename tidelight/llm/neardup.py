@@ -7,9 +7,9 @@ are frequent for that reason: with undamped weights the few edited ones would ou
 the probability of their weighted Jaccard similarity. Texts that agree in a band are candidates, and those whose
 weighted Jaccard similarity is at least the threshold are linked. Classes are the connected components.
 
-Equal texts are put together first and count once. In a bucket of candidates every text is compared with one pivot, not with
-all others; buckets that still hold several classes afterwards are compared again with other pivots, ring-wise between
-classes, until a round finds nothing new or ``rounds`` are over.
+Equal texts are put together first and count once. In a bucket of candidates every text is compared with one pivot; texts
+that are not in one class afterwards are compared with more pivots, ``SPREAD`` times as many in each round and first those with
+most links, until no bucket holds two texts of different classes that were not compared. There is no limit of rounds.
 
 * Words are taken in lower case, without marks around them. A text of fewer than five words is one shingle; texts without words are
   alike. A null text is an empty text. A row without ``doc_id`` goes by a negative number made of its text.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelight.llm import words as w
@@ -36,6 +36,7 @@ from tidelight.session import settle
 SHINGLE = 5
 IDF_CELLS = 1 << 18
 IDF_GAIN = 0.5
+SPREAD = 8  # growth of the number of pivots of a bucket from round to round
 _BITS = np.uint64(44)  # of a shingle's hash that are kept
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>…"
 
@@ -202,7 +203,7 @@ def weighted_jaccard(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndar
     return float(shared / union) if union else 1.0
 
 
-def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4, rounds: int = 3):
+def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4):
     """(documents with ``t1``, ``t2``; representatives ``rep``, ``t1``, ``t2``, ``class_id``; links ``a``, ``b``, ``similarity``).
 
     With 12 bands of 4 samples, texts of similarity 0.8 become candidates with probability 0.998, of 0.9 with 0.99999.
@@ -214,24 +215,29 @@ def link_texts(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: i
     unpivoted = texts.where("b0 IS NOT NULL").select(
         "rep", F.stack(F.lit(bands), *(part for at, b in enumerate(names) for part in (F.lit(at), F.col(b)))).alias("band", "key")
     )
-    shared = unpivoted.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
-    members = settle(unpivoted.join(settle(shared.select("band", "key", "pivot")), ["band", "key"]))
-    pairs = settle(members.where("pivot <> rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    candidates = settle(
-        docs.select(own_id().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .join(wanted.hint("merge"), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-    )
-    links, done = settle(_verified(pairs, candidates, idf, threshold)), pairs
-    labels = components(links)
-    for nth in range(rounds):
-        pairs = settle(_other_pivots(members, labels, nth).join(done, ["a", "b"], "left_anti"))
+    shared = unpivoted.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    held = settle(unpivoted.join(settle(shared.select("band", "key")).hint("merge"), ["band", "key"]).select(
+        "band", "key", "rep", F.col("rep").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    ))
+    links = done = None
+    nth = 0
+    while nth == 0 or held.limit(1).count():
+        pivots = settle(_pivots(held, nth))
+        pairs = _to_pivots(held, pivots)
+        pairs = settle(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"))
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        candidates = settle(
+            docs.select(own_id().alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+            .join(wanted.hint("merge"), "doc_id", "left_semi")
+            .dropDuplicates(["doc_id"])
+        )
         found = settle(_verified(pairs, candidates, idf, threshold))
-        if not found.limit(1).count():
-            break
-        links, done = links.unionByName(found), done.unionByName(pairs)
-        labels = components(links)
+        if links is None or found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+        done = pairs if done is None else done.unionByName(pairs)
+        held = _unsettled(held, pivots, labels, links)
+        nth += 1
     classes = texts.select("t1", "t2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "t1", "t2", "rep", F.coalesce("class_id", "rep").alias("class_id")
     )
@@ -245,22 +251,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return with_a.select("a", "b", "ta", "tb").mapInArrow(_similar(idf, threshold), "a long, b long, similarity double")
 
 
-def _other_pivots(members: DataFrame, labels: DataFrame, nth: int) -> DataFrame:
-    """New pairs between the classes of each bucket that holds several: a text of each, drawn anew in every round, with
-    one of the next class and one of the bucket's largest class."""
-    order = F.xxhash64(F.lit(nth), "rep")
-    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "class_id", F.coalesce("class_id", "rep")
-    )
-    held = named.groupBy("band", "key", "class_id").agg(
-        F.min(F.struct(order.alias("o"), "rep")).alias("drawn"), F.count("*").alias("n")
-    )
-    several = held.groupBy("band", "key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "drawn")).alias("top"))
-    mixed = held.join(several.where("classes > 1"), ["band", "key"])
-    ring = Window.partitionBy("band", "key").orderBy("class_id")
-    mixed = mixed.withColumn("following", F.lead("drawn.rep").over(ring))
-    ends = mixed.select(F.col("drawn.rep").alias("x"), F.explode(F.array("following", "top.drawn.rep")).alias("y"))
-    return ends.where("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _pivots(held: DataFrame, nth: int) -> DataFrame:
+    """``SPREAD`` ** nth texts of each bucket, or as many as it has places for: first those with most links."""
+    place = F.pmod(F.xxhash64(F.lit(nth), "rep"), F.lit(SPREAD**nth)).alias("place")
+    first = F.min(F.struct((-F.col("n_links")).alias("o"), "rep", "class_id")).alias("p")
+    return held.groupBy("band", "key", place).agg(first).select("band", "key", F.col("p.rep").alias("pivot"), F.col("p.class_id").alias("class"))
+
+
+def _to_pivots(held: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Each text with the pivots of its bucket that are in other classes."""
+    both = held.join(pivots, ["band", "key"]).where("class_id <> class")
+    return both.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+
+
+def _unsettled(held: DataFrame, pivots: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``held`` without the pivots, which were compared with all others, and without the buckets that are left with one class."""
+    rest = held.select("band", "key", "rep").join(pivots.select("band", "key", F.col("pivot").alias("rep")), ["band", "key", "rep"], "left_anti")
+    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    known = labels.withColumnRenamed("node", "rep").join(degrees, "rep")
+    named = settle(rest.join(known, "rep", "left").select(
+        "band", "key", "rep", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    ))
+    several = named.groupBy("band", "key").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
+    return settle(named.join(settle(several.select("band", "key")).hint("merge"), ["band", "key"]))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 4) -> DataFrame:
