@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +227,12 @@ def test_fingerprints_of_awkward_rows(awkward, nothing, spark):
     assert fingerprints.fingerprint_documents(nothing).count() == 0
     (one,) = fingerprints.fingerprint_documents(spark.createDataFrame([(3, "abcd")], "doc_id long, text string"), 5).collect()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
+
+
+def test_rare_words_of_a_class_count(spark):
+    docs, labels = toxic_tables(spark, 200)
+    used = [r.doc_id for r in toxicity.training_rows(labels).where("toxic = 1 AND fold <> 4").orderBy("doc_id").limit(2).collect()]
+    rare = docs.selectExpr("doc_id", f"CASE WHEN doc_id IN ({used[0]}, {used[1]}) THEN text || ' zzrare' ELSE text END AS text")
+    model = toxicity.fit(rare, labels)
+    seen, unseen = model.difference(pa.array(["zzrare", "zznever"]))[0]
+    assert seen > unseen

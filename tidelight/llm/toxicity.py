@@ -2,9 +2,9 @@
 
 A bigram model each of toxic and of ordinary labelled texts, with interpolated absolute discounts. Pairs count by the
 distinct words before them, as the lower orders of Kneser-Ney models do, so that copies of a text count once. Both back
-off to continuation counts of their class and these to counts of all documents. Pairs and words that the two classes together hold
-fewer than ``min_count`` times give their mass to the backing-off: what is rare is scored by shared counts, alike in both
-classes, instead of by the class that happens to hold it. The score is the logistic function of the difference of
+off to continuation counts of their class and these to counts of all documents. Pairs and words of every count are kept; the
+discounts pass part of their mass on. Of a word that neither class holds, the shared count would be a factor of both
+likelihoods and cancels in their ratio, so only the counts of the classes' words are gathered. The score is the logistic function of the difference of
 the log-likelihoods per word; its slope and offset are fitted on labelled texts that the models have not seen.
 
 The models are fitted on a bounded sample: of each class equally many rows, in the order of a hash of their id, up to
@@ -152,8 +152,7 @@ def _discount(once: int, twice: int) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000,
-        min_count: int = 5) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000) -> Model | None:
     """The models of a sample, backed off to counts of all ``docs``; None if a class has no words."""
     fitting, calibrating = _sample(docs, labels, max_documents, max_bytes)
     classes = (0, 1)
@@ -162,7 +161,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_byte
             *(F.sum((F.col("toxic") == y).cast("long")).alias(f"n{y}") for y in classes)
         )
     )
-    both = F.col("n0") + F.col("n1")
     by_word = pairs.groupBy("word").agg(*(F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"k{y}") for y in classes))
     n = [F.sum((F.col(f"n{y}") == c).cast("long")).alias(f"n{y}_{c}") for y in classes for c in (1, 2)]
     k = [F.sum((F.col(f"k{y}") == c).cast("long")).alias(f"k{y}_{c}") for y in classes for c in (1, 2)]
@@ -170,33 +168,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_byte
     if not pair_sums.n0 or not pair_sums.n1:
         return None
     word_sums = by_word.agg(*k, *(F.sum(f"k{y}").alias(f"k{y}") for y in classes)).head()
-    # Each of these has at most 2 max_bytes / min_count rows.
-    frequent = by_word.where(F.col("k0") + F.col("k1") >= min_count).orderBy("word").toPandas()
+    # Each of these has at most as many rows as the sample has words, so at most max_bytes.
+    known = by_word.orderBy("word").toPandas()
     contexts = pairs.groupBy("before").agg(*(F.sum(f"n{y}").alias(f"t{y}") for y in classes))
-    contexts = contexts.where(F.col("t0") + F.col("t1") >= min_count).toPandas()
-    strong = pairs.where(both >= min_count).toPandas()
+    contexts = contexts.toPandas()
+    held_pairs = pairs.toPandas()
 
-    words = np.union1d(frequent.word.to_numpy().view(np.uint64), [_START])
-    at = np.searchsorted(words, frequent.word.to_numpy().view(np.uint64))
+    words = np.union1d(known.word.to_numpy().view(np.uint64), np.array([_START]))
+    at = np.searchsorted(words, known.word.to_numpy().view(np.uint64))
     everywhere, unknown = _count_everywhere(docs, words)
     all_words = everywhere.sum() + unknown
     # A word that is not known gets the same constant in both classes.
     shared = np.append((everywhere + 0.5) / (all_words + 0.5 * len(words) + 1), 1 / (all_words + 1))
-    before, word = (strong[name].to_numpy().view(np.uint64) for name in ("before", "word"))
+    before, word = (held_pairs[name].to_numpy().view(np.uint64) for name in ("before", "word"))
     keys = _pair(before, word)
     order = np.argsort(keys)
-    of_context = {int(v): at for at, v in enumerate(contexts.before.to_numpy().view(np.uint64))}
-    context = np.array([of_context[int(v)] for v in before[order]], np.int64)
+    befores = contexts.before.to_numpy().view(np.uint64)
+    sorter = np.argsort(befores)
+    context = sorter[np.searchsorted(befores, before[order], sorter=sorter)]
     place = np.searchsorted(words, before[order])
     lower, passed_on, higher = [], [], []
     for y in classes:
         flat = _discount(word_sums[f"k{y}_1"], word_sums[f"k{y}_2"])
         kept = np.zeros(len(words) + 1)
-        kept[at] = np.maximum(frequent[f"k{y}"].to_numpy() - flat, 0) / word_sums[f"k{y}"]
+        kept[at] = np.maximum(known[f"k{y}"].to_numpy() - flat, 0) / word_sums[f"k{y}"]
         lower.append(kept + (1 - kept.sum()) * shared)
         steep = _discount(pair_sums[f"n{y}_1"], pair_sums[f"n{y}_2"])
         total = np.maximum(contexts[f"t{y}"].to_numpy()[context], 1) if len(context) else np.zeros(0)
-        share = np.maximum(strong[f"n{y}"].to_numpy()[order] - steep, 0) / total
+        share = np.maximum(held_pairs[f"n{y}"].to_numpy()[order] - steep, 0) / total
         higher.append(np.append(share, 0.0))
         passed_on.append(1 - np.bincount(place, share, minlength=len(words) + 1))
     model = Model(words, np.stack(lower), np.stack(passed_on), keys[order], np.stack(higher))
@@ -247,10 +246,9 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(beta[0] / scale), float(beta[1] - beta[0] * middle / scale)
 
 
-def score(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000,
-          min_count: int = 5) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``llr`` (per word) and ``n_words`` of every row."""
-    model = fit(docs, labels, max_documents, max_bytes, min_count)
+    model = fit(docs, labels, max_documents, max_bytes)
     held_out = (F.pmod(crc_of_id(F.col("doc_id")), F.lit(FOLDS)) == 0).alias("held_out")
     if model is None:
         share = training_rows(labels).agg(F.coalesce(F.avg("toxic"), F.lit(0.5)).alias("share")).head().share
