@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, lines, mixing, neardup, passages, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import fingerprints, lines, mixing, neardup, passages, phrases, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -104,3 +104,50 @@ def op9_fingerprints(spark, sf_dir):
 @PLANS.add()
 def op10_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_LOWER = f"translate({{}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')".format
+
+
+def _phrases_sql(min_count: int, top: int) -> str:
+    """Plain counting of all runs of up to five words."""
+    ranks = range(1, 6)
+    runs = " UNION ALL ".join(
+        f"SELECT lang, {k} AS k, {' || '.join(['w1', *(f"' ' || w{at}" for at in range(2, k + 1))])} AS phrase FROM ahead "
+        f"WHERE w{k} IS NOT NULL"
+        for k in ranks
+    )
+    leads = ", ".join(["w AS w1", *(f"lead(w, {at - 1}) OVER p AS w{at}" for at in range(2, 6))])
+    parts = " UNION ALL ".join(
+        f"SELECT lang, phrase, k, a, array_to_string(ws[1:{cut}], ' ') AS p1, array_to_string(ws[{cut + 1}:], ' ') AS p2, {cut} AS cut "
+        f"FROM kept WHERE k > {cut}"
+        for cut in range(1, 5)
+    )
+    inner = " UNION ALL ".join(
+        f"SELECT lang, array_to_string(ws[{at}:{at + size - 1}], ' ') AS phrase, a FROM longer WHERE k > {size} AND k >= {at + size - 1}"
+        for size in range(2, 5)
+        for at in range(1, 5)
+    )
+    return f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({_LOWER("coalesce(text, '')")},
+  '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS id, regexp_split_to_array(piece, '[ \t]+') AS ws FROM pieces),
+words AS (SELECT lang, id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM numbered),
+ahead AS (SELECT lang, {leads} FROM words WHERE w <> '' WINDOW p AS (PARTITION BY id ORDER BY pos)),
+every AS (SELECT lang, k, phrase, count(*) AS a FROM ({runs}) GROUP BY ALL HAVING k = 1 OR count(*) >= {min_count}),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM every WHERE k = 1 GROUP BY lang),
+longer AS (SELECT *, string_split(phrase, ' ') AS ws FROM every WHERE k > 1),
+above AS (SELECT lang, phrase, max(a) AS above FROM ({inner}) GROUP BY lang, phrase),
+kept AS (SELECT longer.* FROM longer LEFT JOIN above USING (lang, phrase) WHERE above IS NULL OR 100 * above < 100 * a),
+cuts AS ({parts}),
+scored AS (SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, cut,
+  CAST((CAST(c.a AS HUGEINT) * n * 1000) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN every x ON x.lang = c.lang AND x.phrase = p1 JOIN every y ON y.lang = c.lang AND y.phrase = p2
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {top}"""
+
+
+@PLANS.add(_phrases_sql(100, 2000))
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
