@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, lines, mixing, neardup, passages, phrases, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import fingerprints, importance, lines, mixing, neardup, passages, phrases, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -151,3 +151,35 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {top}"""
 @PLANS.add(_phrases_sql(100, 2000))
 def op11_phrases(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+_CRC_STEP = "if({0} & 1 = 1, xor({0} >> 1, 3988292384), {0} >> 1)".format
+_CRC = "b"
+for _ in range(8):
+    _CRC = f"list_transform([{_CRC}], lambda c: {_CRC_STEP('c')})[1]"
+
+
+@PLANS.add(f"""WITH steps AS (SELECT list_transform(range(256), lambda b: {_CRC}) AS steps),
+texts AS (SELECT doc_id AS id, true AS own, {_LOWER("coalesce(text, '')")} AS text FROM documents
+  UNION ALL SELECT item_id, false, {_LOWER("coalesce(text, '')")} FROM benchmark),
+words AS (SELECT own, id, list_filter(regexp_split_to_array(text, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM texts),
+features AS (SELECT own, id, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS feature FROM words),
+distinct_features AS (SELECT DISTINCT feature, hex(encode(feature)) AS digits FROM features),
+buckets AS (SELECT feature, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(digits) // 2),
+    lambda b: CAST('0x' || substr(digits, CAST(2 * b + 1 AS INT), 2) AS BIGINT))),
+    lambda crc, byte: xor(crc >> 8, steps[xor(crc & 255, byte) + 1]))) % 10000 AS bucket FROM distinct_features, steps),
+counts AS (SELECT bucket, count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t
+  FROM features JOIN buckets USING (feature) GROUP BY bucket),
+sums AS (SELECT CAST(sum(s) AS DOUBLE) AS S_, CAST(sum(t) AS DOUBLE) AS T_ FROM counts),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * (S_ + 10000)) / (CAST(s + 1 AS DOUBLE) * (T_ + 10000)))) AS BIGINT) AS gain
+  FROM counts, sums),
+weights AS (SELECT id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM features JOIN buckets USING (feature) JOIN gains USING (bucket) WHERE own GROUP BY id),
+scored AS (SELECT w.id AS doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, len(ws) >= 20 AS ready,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('7:' || w.id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM words w LEFT JOIN weights USING (id) WHERE own),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY ready ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN ready AND place <= (SELECT count(*) FROM scored WHERE ready) * 25 // 100 THEN place END AS rank FROM ranked""")
+def op12_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
