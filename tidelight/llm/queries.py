@@ -7,7 +7,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from tidelight.llm import fingerprints, importance, lines, mixing, neardup, passages, phrases, pieces, pii, quality, sharding, toxicity
+from tidelight.llm import bilinear, fingerprints, importance, lines, mixing, neardup, passages, phrases, pieces, pii, quality, sharding, toxicity
 from tidelight.llm.tables import table
 from tidelight.plans.catalog import Catalog
 
@@ -183,3 +183,8 @@ SELECT doc_id, n_features, weight, score,
   CASE WHEN ready AND place <= (SELECT count(*) FROM scored WHERE ready) * 25 // 100 THEN place END AS rank FROM ranked""")
 def op12_importance(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@PLANS.add()
+def op13_bilinear(spark, sf_dir):
+    return bilinear.score(table(spark, sf_dir, "documents"))
