@@ -6,8 +6,8 @@
 3. A full pass counts every phrase whose first and whose last words but one are both proposed (or frequent words). That is
    the proposed phrases and their negative border, as far as it occurs; the border is never enumerated.
 4. A frequent phrase of the border is a failure: longer phrases around it were not counted. Then the failures join the
-   proposals and a further pass counts what has become possible and was not counted, until a pass brings no failure. A further
-   pass takes what it counts for frequent when it looks at the next length, so it closes all lengths at once.
+   proposals and an expansion pass counts what has become possible and was not counted. It takes all that it counts for frequent
+   when it looks at the next length, so one such pass closes all lengths.
 
 The result does not depend on the sample; only the number of passes does. Proposals are carried to the tasks as a bit map of
 fixed size. A false hit in it makes a pass count a phrase in vain and changes no result, since counts go by language and phrase
@@ -35,10 +35,10 @@ from tidelight.llm.grams import byte_classes, chain, cut_words, pieces_of_texts,
 from tidelight.session import settle
 
 LONGEST = 5
-CHUNK = 6 << 20
+CHUNK = 3 << 20
 STRETCH = 32
 PIECES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
-_COUNTS = "lang string, k int, phrase string, proposed boolean, n long"
+_COUNTS = "lang string, phrase string, n long"
 
 
 class KeyMap:
@@ -139,10 +139,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None, only: int | None = None) -> DataFrame:
-    """``lang``, ``k``, ``phrase``, ``proposed`` and ``n`` of the phrases whose two parts but one word are ``wanted``.
+    """``lang``, ``phrase`` and ``n`` of the phrases whose two parts but one word are ``wanted``.
 
-    Those that an earlier pass with the map ``counted`` counted are left out, and all others count as proposed. ``only`` is a
-    single length.
+    Those that an earlier pass with the map ``counted`` counted are left out, and all others are taken for wanted too at the
+    next length. ``only`` is a single length.
     """
     maps = docs.sparkSession.sparkContext.broadcast((wanted, counted))
 
@@ -164,7 +164,7 @@ def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None
                 fresh = np.ones(len(here), bool)
                 if old:
                     fresh = ~(before[here] & before[here + 1])
-                    before = old.has(keys_k)
+                    before = old.has(keys_k) & ~fresh  # a false hit of what was not counted does not count
                 places = at[here]
                 held_k = new.has(keys_k)
                 if old:
@@ -176,14 +176,13 @@ def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None
                     parts = [words.distinct.take(pa.array(words.code[places[first] + step])) for step in range(k)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
                     yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(langs[words.owner[places[first]]])), pa.array(np.full(len(first), k, np.int32)),
-                         phrase.cast(pa.string()), pa.array(held_k[first]), pa.array(counts.astype(np.int64))],
-                        names=["lang", "k", "phrase", "proposed", "n"],
+                        [names.take(pa.array(langs[words.owner[places[first]]])), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))],
+                        names=["lang", "phrase", "n"],
                     )
                 at, keys, held = places, keys_k, held_k
 
     found = _language(docs).mapInArrow(count, _COUNTS)
-    return found.groupBy("lang", "k", "phrase", "proposed").agg(F.sum("n").alias("n"))
+    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 @F.arrow_udf(T.LongType())
@@ -202,6 +201,16 @@ def _keys(phrases: DataFrame) -> DataFrame:
     return phrases.select(_phrase_key("lang", "phrase").alias("key"))
 
 
+def _not_in(phrases: DataFrame, known: KeyMap) -> DataFrame:
+    shared = phrases.sparkSession.sparkContext.broadcast(known)
+
+    @F.arrow_udf(T.BooleanType())
+    def held(keys: pa.Array) -> pa.Array:
+        return pa.array(shared.value.has(keys.to_numpy().view(np.uint64)))
+
+    return phrases.where(~held(_phrase_key("lang", "phrase")))
+
+
 def sample_support(min_count: int, share: float, slack: float) -> int:
     """The count in a sample that few phrases of ``min_count`` occurrences stay below."""
     expected = min_count * share
@@ -214,12 +223,12 @@ def frequent_phrases(
     """All phrases of up to ``LONGEST`` words that occur ``min_count`` times or more, the words per language, and the
     number of passes over all texts that counted phrases.
 
-    The first has ``lang``, ``k``, ``phrase`` and ``n``. The sample is one in ``share`` stretches; ``slack`` is
+    The first has ``lang``, ``phrase``, ``n`` and ``k``, the number of words. The sample is one in ``share`` stretches; ``slack`` is
     by how many standard deviations its support is lowered.
     """
     words = settle(count_words(docs))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    single = words.where(F.col("n") >= min_count).select("lang", F.lit(1).alias("k"), "phrase", "n")
+    single = words.where(F.col("n") >= min_count).select("lang", "phrase", "n")
     known = KeyMap(map_bits).joined_by(_keys(single))
     sample = settle(sample_stretches(docs, share))
     support = sample_support(min_count, 1 / share, slack)
@@ -228,19 +237,13 @@ def frequent_phrases(
         if proposed.isEmpty():
             break
         known = known.joined_by(_keys(proposed))
-    frequent, counted, passes = [single], None, 0
-    while True:
-        found = settle(count_phrases(docs, known, counted).where(F.col("n") >= min_count))
-        passes += 1
-        frequent.append(found.select("lang", "k", "phrase", "n"))
-        failures = found.where(~F.col("proposed") & (F.col("k") < LONGEST))
-        if failures.isEmpty():
-            break
-        counted, known = known, known.joined_by(_keys(failures))
-    every = frequent[0]
-    for part in frequent[1:]:
-        every = every.unionByName(part)
-    return settle(every), settle(totals), passes
+    found = settle(count_phrases(docs, known).where(F.col("n") >= min_count))
+    every, passes = single.unionByName(found), 1
+    failures = _not_in(found.where(F.size(F.split("phrase", " ")) < LONGEST), known)
+    if not failures.isEmpty():
+        expanded = count_phrases(docs, known.joined_by(_keys(failures)), known)
+        every, passes = every.unionByName(expanded.where(F.col("n") >= min_count)), 2
+    return settle(every.withColumn("k", F.size(F.split("phrase", " ")))), settle(totals), passes
 
 
 def _runs(phrase_words: str, shortest: int) -> str:
