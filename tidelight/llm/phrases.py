@@ -35,7 +35,7 @@ from tidelight.llm.grams import byte_classes, chain, cut_words, pieces_of_texts,
 from tidelight.session import settle
 
 LONGEST = 5
-CHUNK = 3 << 20
+CHUNK = 1 << 20
 STRETCH = 32
 PIECES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 _COUNTS = "lang string, phrase string, n long"
