@@ -34,7 +34,7 @@ from tidelight.llm.grams import byte_classes, cut_words, pieces_of_texts
 from tidelight.llm.tables import crc_of_id
 from tidelight.session import settle
 
-CHUNK = 6 << 20
+CHUNK = 2 << 20
 WHITE = byte_classes(b" \t\n\x0b\x0c\r")
 END = ""  # no word is empty
 FOLDS, HELD_OUT = 7, 2

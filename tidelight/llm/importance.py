@@ -30,7 +30,7 @@ from tidelight.llm.grams import byte_classes, cut_words, pieces_of_texts
 from tidelight.session import settle
 
 BUCKETS = 10_000
-CHUNK = 6 << 20
+CHUNK = 2 << 20
 # Everything in ASCII but digits and letters parts words.
 APART = byte_classes(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 _POLYNOMIAL = 0xEDB88320  # fixed value: of CRC-32, lowest bit first
