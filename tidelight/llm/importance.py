@@ -154,8 +154,8 @@ def _splitters(runs: DataFrame, keys: list[str], segments: int, per_run: int) ->
     rank = F.row_number().over(Window.orderBy(*keys))  # at most 2 per_run rows a run
     count = F.count("*").over(Window.partitionBy())
     placed = regular.select(*keys, rank.alias("_rank"), count.alias("_all"))
-    every = f"greatest(1L, _all div {segments})"
-    picked = placed.where(f"_rank % {every} = 0 AND _rank < _all").orderBy("_rank").limit(segments - 1)
+    passed = f"(_rank * {segments}) div _all > ((_rank - 1) * {segments}) div _all"  # the next of equal parts is reached
+    picked = placed.where(f"{passed} AND _rank < _all").orderBy("_rank").limit(segments - 1)
     return [tuple(row) for row in picked.select(*keys).collect()]
 
 
