@@ -117,11 +117,24 @@ class Vocabulary:
         return shares / shares.sum()
 
 
+def _most_frequent(words: DataFrame, most: int) -> pa.Table:
+    """The words of the highest counts, in order: as many whole eighths of powers of two as hold at most ``most`` words."""
+    level = F.floor(F.log2("n") * 8)
+    levels = words.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()  # at most 8 * 63 rows
+    taken, least = 0, None
+    for row in sorted(levels, key=lambda row: -row.level):
+        if taken + row.words > most:
+            break
+        taken, least = taken + row.words, row.level
+    found = words.where(level >= least) if least is not None else words.limit(0)
+    return found.select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+
+
 def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
     """From a settled table of :func:`token_counts`. The end is the last of the symbols with a vector of their own."""
     words = counts.where(F.col("word") != END)
-    top = words.orderBy(F.desc("n"), "word").limit(settings.looked_up).toArrow()  # a bounded number of words
-    rest_from = top.column("n").to_pylist()[settings.symbols - 2 :][:1], top.column("word").to_pylist()[settings.symbols - 2 :][:1]
+    top = _most_frequent(words, settings.looked_up)
+    edge = top.slice(max(0, min(settings.symbols - 1, top.num_rows) - 1), 1).to_pylist()  # the last with a vector of its own
 
     @F.arrow_udf("int")
     def class_of(found: pa.Array) -> pa.Array:
@@ -129,11 +142,12 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
 
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).head()
     per_class = np.zeros((2, settings.classes), np.int64)
-    if rest_from[0]:
-        last, word = rest_from[0][0], rest_from[1][0]
-        rest = words.where((F.col("n") < last) | ((F.col("n") == last) & (F.col("word") > word)))
-        for row in rest.groupBy(class_of("word").alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-            per_class[:, row["at"]] = row.n, row.v
+    rest = words
+    if edge:
+        n, word = edge[0]["n"], edge[0]["word"]
+        rest = words.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    for row in rest.groupBy(class_of("word").alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        per_class[:, row["at"]] = row.n, row.v
     held = pa.concat_arrays([c.cast(pa.large_string()) for c in top.column("word").chunks] or [pa.array([], pa.large_string())])
     return Vocabulary(held, top.column("n").to_numpy(), totals.n, totals.v, *per_class, settings)
 
