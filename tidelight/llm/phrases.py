@@ -38,7 +38,6 @@ LONGEST = 5
 CHUNK = 1 << 20
 STRETCH = 32
 PIECES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
-_COUNTS = "lang string, phrase string, n long"
 
 
 class KeyMap:
@@ -175,14 +174,15 @@ def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None
                     first = chosen[first]
                     parts = [words.distinct.take(pa.array(words.code[places[first] + step])) for step in range(k)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(langs[words.owner[places[first]]])), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))],
-                        names=["lang", "phrase", "n"],
-                    )
+                    lang = names.take(pa.array(langs[words.owner[places[first]]])).cast(pa.large_string())
+                    named = pc.binary_join_element_wise(lang, phrase, pa.scalar("\t", pa.large_string())).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([named, pa.array(counts.astype(np.int64))], names=["named", "n"])
                 at, keys, held = places, keys_k, held_k
+            pa.default_memory_pool().release_unused()
 
-    found = _language(docs).mapInArrow(count, _COUNTS)
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # One text of language, tabulator and phrase (which holds none) is a narrower key than two columns.
+    found = _language(docs).mapInArrow(count, "named string, n long").groupBy("named").agg(F.sum("n").alias("n"))
+    return found.select(F.expr("regexp_extract(named, '(?s)^(.*)\t', 1)").alias("lang"), F.substring_index("named", "\t", -1).alias("phrase"), "n")
 
 
 @F.arrow_udf(T.LongType())
