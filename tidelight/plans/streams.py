@@ -19,13 +19,15 @@ from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
 from tidelight.plans.datasets import linear_scores_sql, pixel_weights
 from tidelight.plans.images import PIXELS, by_pixel
-from tidelight.session import work_folder
+from tidelight.session import settle, work_folder
+from tidelight.sinks import compaction
 from tidelight.sinks.deposit import deposit, replay
 from tidelight.sinks.tables import append_batch, query_id
 from tidelight.sources.files import file_tree, landing_files, stream_reader
 from tidelight.sources.tables import features as read_features
 from tidelight.sources.tables import metrics as read_metrics
 from tidelight.sources.tables import predictions as read_predictions
+from tidelight.sources.tables import read_sink
 from tidelight.sources.tables import rejected as read_rejected
 from tidelight.streaming.ingest import run_for, start_infer, start_scoring, start_storing, start_train
 from tidelight.streaming.telemetry import watch
@@ -111,6 +113,34 @@ def two_queries_one_sink(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id")
 
 
+@PLANS.add("""SELECT event_id, true AS "fewerFolders", true AS recognised FROM events""")
+def compacted_sink(spark, sf_dir):
+    """A drain in a hundred batches, compacted and swept; then one compacted and one open batch are replayed."""
+    tree, sink, checkpoint = (work_folder(spark, name) for name in ("files", "sink", "checkpoint"))
+    events = i.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    events.repartition(100).write.parquet(tree)
+    drained: dict[int, str] = {}
+
+    def write(batch, batch_id):
+        writer = query_id(batch.sparkSession, checkpoint)
+        append_batch(batch, sink, batch_id, writer)
+        drained[batch_id] = writer
+
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(tree)
+    query = files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+    newest = max(drained)
+    again = {at: spark.read.parquet(f"{sink}/writer={drained[at]}/batch_id={at}").select("event_id", "ts") for at in (1, newest)}
+    again = {at: settle(rows) for at, rows in again.items()}
+    state = compaction.compact(spark, sink, events.schema, "to_date(ts)")
+    compaction.sweep(spark, sink, 0)
+    for at, rows in again.items():
+        append_batch(rows, sink, at, drained[at])
+    few = compaction.batch_folders(spark, sink) < len(drained)
+    known = state.holds(drained[1], 1) and not state.holds(drained[newest], newest)
+    return read_sink(spark, sink, events.schema).select("event_id", F.lit(few).alias("fewerFolders"), F.lit(known).alias("recognised"))
+
+
 @PLANS.add(f"""WITH {i.OUTCOMES} SELECT "sourcePath", true AS "afterScoring" FROM outcomes WHERE len(features) = 64""")
 def stream_processed_after_scoring(spark, sf_dir):
     """A model that takes its time and scores with the clock: no row is older than its score."""
