@@ -52,6 +52,33 @@ def test_chosen_rows_are_the_smallest_hashes(spark):
     assert len(seeded) == 37 and seeded != chosen
 
 
+@pytest.mark.parametrize("digits, few", [(1, 2), (2, 40), (3, 1_000)])
+def test_slices_are_refined_round_by_round(spark, monkeypatch, digits, few):
+    monkeypatch.setattr(dataset, "_DIGITS", digits)
+    monkeypatch.setattr(dataset, "_FEW", few)
+    df = rows_of(spark, {("train", 0): 700, ("train", 1): 90, ("train", 2): 5})
+    need = {0: 333, 1: 45, 2: 9, 3: 4}
+    table = spark.createDataFrame(list(need.items()), "labelId int, need long")
+    got = sorted((r.labelId, r.hash, r.sourcePath) for r in dataset.sample_per_class(df, table).collect())
+    every = sorted((r.labelId, r.hash, r.sourcePath) for r in df.withColumn("hash", F.md5("sourcePath")).collect())
+    assert got == [row for label, k in need.items() for row in [r for r in every if r[0] == label][:k]]
+
+
+def test_copies_of_one_key_end_the_digits(spark):
+    df = spark.range(3_000).select(F.lit("same").alias("sourcePath"), F.lit(0).alias("labelId"))
+    table = spark.createDataFrame([(0, 1_234)], "labelId int, need long")
+    assert dataset.sample_per_class(df, table).count() == 1_234
+
+
+def test_no_window_sees_the_rows_of_a_class(spark):
+    """Windows of the sample stand above an aggregation of the boundary slice."""
+    df = rows_of(spark, {("train", 1): 500})
+    sample = dataset.sample_per_class(df, spark.createDataFrame([(1, 250)], "labelId int, need long"))
+    plan = sample._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(n for n, line in enumerate(plan) if "Window" in line)
+    assert "Aggregate" in "".join(plan[at + 1 : at + 4])
+
+
 @pytest.mark.parametrize("need", [0, 1, 499, 500, 600])
 def test_sample_sizes_at_the_edges(spark, need):
     df = rows_of(spark, {("train", 1): 500, ("train", 2): 3})

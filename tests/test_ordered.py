@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelight.operators import kpi, timeline
-from tidelight.operators.ordered import STRETCH, ordered_scan, salted_lookup, with_row_index
+from tidelight.operators.ordered import STRETCH, ordered_scan, salted_lookup, segmented_previous, with_row_index
 
 
 @pytest.mark.parametrize("levels, step", [(0, 1), (1, 1), (2, 1), (3, 2**20)])
@@ -155,3 +155,21 @@ def test_backlog_ignores_absent_frames(spark):
     done = spark.createDataFrame([("b",), ("b",), (None,)], "fileName string")
     assert sorted(r[0] for r in kpi.backlog(landing, done, None, spark.range(1)).collect()) == ["a", "c"]
     assert kpi.backlog(landing).count() == 3
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_neighbours_inside_segments_of_any_size(spark, parts):
+    rows = [(None if k % 5 == 4 else 0 if k % 5 else 1 + k, k * 37 % 1_000, k) for k in range(1_000)]
+    df = spark.createDataFrame(rows, "view int, at int, n int").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = segmented_previous(df, "view", ["at"], ["n"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    expected = set()
+    for view in {r[0] for r in rows}:
+        held = sorted((r for r in rows if r[0] == view), key=lambda r: r[1])
+        expected |= {(*row, before) for row, before in zip(held, [None, *(r[2] for r in held)])}
+    assert {(r.view, r.at, r.n, r.n_prev) for r in got} == expected and len(got) == 1_000

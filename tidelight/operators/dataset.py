@@ -14,11 +14,11 @@ from tidelight.session import broadcast_if_small, settle
 
 DEFAULT_CLASSES = tuple(sorted(CLASS_IDS.values()))
 
-# Per-class tables up to this many rows are broadcast.
-MAX_CLASSES = 100_000
-
-# Hex digits of the sample key that fit a BIGINT.
-_LEADING_DIGITS = 15
+# Hex digits of the sample key that one round of the selection looks at: at most 4 096 counts per class.
+_DIGITS = 3
+_ALL_DIGITS = 32
+# A slice with at most so many different keys may be ranked by a window.
+_FEW = 1_000
 
 
 def sample_key(key: str, seed: int | None = None) -> Column:
@@ -27,19 +27,6 @@ def sample_key(key: str, seed: int | None = None) -> Column:
     return F.md5(text if seed is None else F.concat(F.lit(f"{seed}|"), text))
 
 
-def _magnitude(hash_col: str) -> Column:
-    """Bit length of the leading hash digits: grows with the hash and takes at most 60 values."""
-    return F.length(F.bin(F.conv(F.substring(hash_col, 1, _LEADING_DIGITS), 16, 10).cast("long")))
-
-
-def _is_few(table: DataFrame) -> bool:
-    return table.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES
-
-
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 # ---- counts ---------------------------------------------------------------
 
 
@@ -136,41 +123,62 @@ def rebalance_shortfall(df: DataFrame, target: int = VAL_TARGET_PER_CLASS, **opt
     )
 
 
+def boundary_slices(keyed: DataFrame, need: DataFrame, label: str) -> DataFrame:
+    """Radix selection: per class ``bound`` and ``left``, such that the ``need`` smallest hashes are those below ``bound``
+    and the ``left`` smallest of those that begin with it.
+
+    Each round counts the rows of the open slices by their next ``_DIGITS`` hex digits, takes the slots below the one in
+    which the class's number is reached, and goes on inside that slot until it holds few rows or, for a key that repeats, until
+    the digits end. A round shrinks a slice about 4 096 times, so ten billion rows of a class take three. ``need`` is a
+    ``(label, need)`` table with one row per class.
+    """
+    begun = F.greatest(F.col("need").cast("long"), F.lit(0).cast("long"))
+    state = settle(need.select(label, F.lit("").alias("bound"), begun.alias("left"), (begun > 0).alias("open")))
+    while True:
+        inside = keyed.join(broadcast_if_small(state.where("open")), label).where(F.col("hash").startswith(F.col("bound")))
+        slot = F.substring("hash", F.length("bound") + 1, F.lit(_DIGITS))
+        slots = inside.groupBy(label, "left", slot.alias("slot")).agg(F.count("*").alias("n"))
+        so_far = Window.partitionBy(label).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # at most 4 096 rows
+        below = slots.withColumn("below", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
+        reached = below.where("below < left AND left <= below + n").select(label, "slot", "n", (F.col("left") - F.col("below")).alias("rest"))
+        deeper = F.concat("bound", "slot")
+        whole = F.col("slot").isNull() | (F.col("n") == F.col("rest"))  # "g" comes after all hex digits
+        last = (F.col("n") <= _FEW) | (F.length(deeper) >= _ALL_DIGITS)
+        following = state.join(reached, label, "left").select(
+            label,
+            F.when(~F.col("open"), F.col("bound")).when(whole, F.concat("bound", F.coalesce("slot", F.lit("")), F.lit("g"))).otherwise(deeper).alias("bound"),
+            F.when(~F.col("open"), F.col("left")).when(whole, F.lit(0).cast("long")).otherwise(F.col("rest")).alias("left"),
+            (F.col("open") & ~whole & ~last).alias("open"),
+        )
+        state = settle(following)
+        if state.where("open").isEmpty():
+            return state.select(label, "bound", "left")
+
+
+def _edge(keyed: DataFrame, slices: DataFrame, label: str, key: str) -> DataFrame:
+    """Keys of the boundary slices that are chosen, and how many of the rows of each."""
+    begins = (F.col("left") > 0) & F.col("hash").startswith(F.col("bound"))
+    inside = keyed.join(broadcast_if_small(slices), label).where(begins)
+    copies = inside.groupBy(label, "hash", key, "left").agg(F.count("*").alias("n"))  # few keys, whatever the copies
+    so_far = Window.partitionBy(label).orderBy("hash", key).rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.least("n", F.col("left") - F.coalesce(F.sum("n").over(so_far), F.lit(0)))
+    return copies.withColumn("taken", taken).where("taken > 0").select(label, key, "hash", "taken")
+
+
 def sample_per_class(
-    df: DataFrame,
-    need: DataFrame,
-    key: str = "sourcePath",
-    label: str = "labelId",
-    seed: int | None = None,
-    few_classes: bool | None = None,
+    df: DataFrame, need: DataFrame, key: str = "sourcePath", label: str = "labelId", seed: int | None = None
 ) -> DataFrame:
     """For each class the ``need`` rows of ``df`` with the smallest sample key: ``(label, key, hash)``.
 
-    ``need`` is a ``(label, need)`` table with one row per class. A histogram of
-    hash magnitudes, at most 60 rows per class, tells up to which magnitude rows
-    can be chosen; only those few are ranked. Exact for any data, and no other
-    column of ``df`` is read. ``few_classes`` says that the caller knows the
-    per-class tables to be small; otherwise ``need`` is counted.
+    ``need`` is a ``(label, need)`` table with one row per class. Exact for any data, and no other column of ``df`` is read.
+    Rows below the boundary slice (:func:`boundary_slices`) are chosen where they are; no task ranks the rows of a class.
     """
-    if few_classes is None:
-        few_classes = _is_few(need)
-    spread = F.broadcast if few_classes else _as_is
-    keyed = df.select(label, key, sample_key(key, seed).alias("hash")).withColumn(
-        "magnitude", _magnitude("hash")
-    )
-    so_far = Window.partitionBy(label).orderBy("magnitude").rowsBetween(Window.unboundedPreceding, -1)
-    enough = (
-        keyed.groupBy(label, "magnitude")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("smaller", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
-        .join(spread(need), label)
-        .where("smaller < need")
-        .groupBy(label, "need")
-        .agg(F.max("magnitude").alias("reach"))
-    )
-    candidates = keyed.join(spread(enough), label).where("magnitude <= reach")
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("hash", key))
-    return candidates.withColumn("rank", rank).where("rank <= need").select(label, key, "hash")
+    keyed = df.select(label, key, sample_key(key, seed).alias("hash"))
+    slices = boundary_slices(keyed, need, label)
+    below = keyed.join(broadcast_if_small(slices), label).where(F.col("hash") < F.col("bound")).select(label, key, "hash")
+    edge = _edge(keyed, slices, label, key)
+    each = edge.select(label, key, "hash", F.explode(F.sequence(F.lit(1).cast("long"), "taken")).alias("_copy"))
+    return below.unionByName(each.drop("_copy"))
 
 
 def rebalance_validation(
@@ -186,7 +194,7 @@ def rebalance_validation(
     """Move a fixed sample of train rows to ``val`` until each class has ``target`` rows there.
 
     Rows of ``val`` and ``test`` keep their split. The sample is the head of the
-    hash order, so one cut-off per class decides for every row in place: the
+    hash order, so one cut-off per class, found by radix selection, decides for every row in place: the
     wide rows are neither shuffled nor joined by key. The cut-offs are found at
     once and written down, so later uses of the result do not repeat the search.
     With ``on_shortfall="take_all"`` a class that is too small gives what it has.
@@ -206,15 +214,19 @@ def rebalance_validation(
         asked = F.col("missing")
     else:
         raise ValueError(f"on_shortfall must be 'error' or 'take_all', not {on_shortfall!r}")
-    few = len(classes) <= MAX_CLASSES if classes is not None else _is_few(class_ids(df, label))
-    train = df.where(F.col(split) == "train")
-    chosen = sample_per_class(train, need.select(label, asked.alias("need")), key, label, seed, few)
-    again = F.raise_error(F.concat(F.lit("repeated key "), F.max(F.col(key).cast("string")))).cast("long")
-    once = chosen.groupBy(label, "hash", key).agg(F.count("*").alias("_n"))
-    once = once.groupBy(label, "hash", key).agg(F.when(F.max("_n") > 1, again).otherwise(F.lit(1)).alias("_n"))
-    cut = settle(once.groupBy(label).agg(F.max(F.struct("hash", key)).alias("_cut"), F.sum("_n").alias("_sum"))).drop("_sum")
-    marked = df.join(F.broadcast(cut) if few else cut, label, "left")
-    moves = (F.col(split) == "train") & (F.struct(sample_key(key, seed), F.col(key)) <= F.col("_cut"))
+    train = df.where(F.col(split) == "train").select(label, key, sample_key(key, seed).alias("hash"))
+    slices = boundary_slices(train, need.select(label, asked.alias("need")), label)
+    edge = _edge(train, slices, label, key).groupBy(label).agg(F.max(F.struct("hash", key)).alias("_edge"))
+    kind = df.schema[key].dataType
+    beneath = F.struct(F.col("bound").alias("hash"), F.lit(None).cast(kind).alias(key))
+    cut = settle(slices.join(edge, label, "left").select(label, F.coalesce("_edge", beneath).alias("_cut")))
+    few = broadcast_if_small(cut)
+    chosen = train.join(few, label).where(F.struct("hash", key) <= F.col("_cut"))
+    again = chosen.groupBy(label, key).agg(F.count("*").alias("_n")).where("_n > 1").head(1)
+    if again:
+        raise ValueError(f"repeated key {again[0][key]}")
+    marked = df.join(few, label, "left")
+    moves = (F.col(split) == "train") & (F.struct(sample_key(key, seed).alias("hash"), F.col(key)) <= F.col("_cut"))
     changed = F.when(moves, "val").otherwise(F.col(split))
     return marked.withColumn(split, changed).select(*df.columns)
 

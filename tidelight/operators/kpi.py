@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelight.defaults import PAGE_SIZE, QUARANTINE_HEAD
 from tidelight.functions.instants import epoch_us, floor_to, latency_seconds, latency_tenths
 from tidelight.operators.latency import latency_figures
-from tidelight.operators.ordered import ordered_scan, with_row_index
+from tidelight.operators.ordered import ordered_scan, segmented_previous, with_row_index
 from tidelight.session import settle
 
 LATENCY = "latencySeconds"
@@ -68,12 +68,14 @@ def kpi_delta(
 ) -> DataFrame:
     """Change of each figure since the snapshot before; NULL when there is none or it is zero.
 
-    ``partition`` names the view a snapshot belongs to. A view refreshes every
-    few seconds, so its snapshots stay few; without it one window takes them all.
+    ``partition`` names the view a snapshot belongs to; without it all belong to one. A view may hold any share of the
+    snapshots: the rows before are found by :func:`segmented_previous`, not by a window over a view.
     """
-    window = Window.partitionBy(partition).orderBy(order) if partition else Window.orderBy(order)
-    changes = {f"{v}Delta": F.nullif(F.col(v) - F.lag(v).over(window), F.lit(0)) for v in values}
-    return snapshots.withColumns(changes)
+    segment = partition or "_view"
+    placed = snapshots if partition else snapshots.withColumn(segment, F.lit(0))
+    known = segmented_previous(placed, segment, [order], values)
+    changes = [F.nullif(F.col(v) - F.col(f"{v}_prev"), F.lit(0)).alias(f"{v}Delta") for v in values]
+    return known.select(*snapshots.columns, *changes)
 
 
 def newest_first(df: DataFrame, ts: str = "processedAt", tie: str = "sourcePath") -> DataFrame:

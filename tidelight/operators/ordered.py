@@ -85,6 +85,31 @@ def ordered_scan(
     )
 
 
+def segmented_previous(df: DataFrame, segment: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Add ``<v>_prev``: the value of the row before in the segment's order, NULL for its first row.
+
+    A segment may hold any share of the rows. Rows are range-partitioned by segment and order, numbered by their part, and written
+    down; inside a part the neighbours of a stretch are adjacent. What a part's first row of a segment lacks is the last row of
+    that segment in an earlier part, found among one summary row per segment and part; at most one segment goes on into a part, so
+    what is sent to all tasks has at most a row per part. ``order`` must
+    tell the rows of a segment apart, or neighbours of equal rows are arbitrary.
+    """
+    keys = [segment, *order]
+    numbered = df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    pinned = settle(numbered)
+    inside = Window.partitionBy("_part", segment).orderBy(*order)
+    edges = pinned.groupBy(F.col("_part").alias("_at"), F.col(segment).alias("_segment")).agg(
+        F.max_by(F.struct(*values), F.struct(*order)).alias("_last")
+    )
+    earlier = F.lag("_last").over(Window.partitionBy("_segment").orderBy("_at"))
+    carried = edges.withColumn("_carried", earlier).where("_carried IS NOT NULL").drop("_last")  # at most one row per part
+    local = pinned.withColumns({"_first": F.row_number().over(inside) == 1} | {f"{v}_prev": F.lag(v).over(inside) for v in values})
+    same = (F.col("_part") == F.col("_at")) & F.col(segment).eqNullSafe(F.col("_segment")) & F.col("_first")
+    joined = local.join(F.broadcast(carried), same, "left")
+    before = {f"{v}_prev": F.when(F.col("_first"), F.col(f"_carried.{v}")).otherwise(F.col(f"{v}_prev")) for v in values}
+    return joined.select(*df.columns, *(c.alias(name) for name, c in before.items()))
+
+
 def _scan_window(
     df: DataFrame,
     order,

@@ -122,7 +122,7 @@ def val_rebalance(spark, sf_dir):
 def _moved(spark, sf_dir):
     rows = i.features(spark, sf_dir)
     need = dataset.val_missing(rows, _TARGET).select("labelId", F.col("missing").alias("need"))
-    return dataset.sample_per_class(rows.where("split = 'train'"), need, few_classes=True)
+    return dataset.sample_per_class(rows.where("split = 'train'"), need)
 
 
 @PLANS.add(f"""WITH {_REBALANCED} SELECT "labelId", "sourcePath", hash FROM moved""")
@@ -131,13 +131,13 @@ def moved_rows(spark, sf_dir):
 
 
 @PLANS.add(f"""WITH {i.FEATURES}, ranked AS (SELECT "labelId", "sourcePath", md5('42|' || "sourcePath") AS hash,
-  row_number() OVER (PARTITION BY "labelId" ORDER BY md5('42|' || "sourcePath"), "sourcePath") AS rank
-  FROM features WHERE split = 'train')
-SELECT "labelId", "sourcePath", hash FROM ranked WHERE rank <= 10 * ("labelId" + 1)""")
+  row_number() OVER (PARTITION BY "labelId" ORDER BY md5('42|' || "sourcePath"), "sourcePath") AS rank,
+  count(*) OVER (PARTITION BY "labelId") AS n FROM features WHERE split = 'train')
+SELECT "labelId", "sourcePath", hash FROM ranked WHERE rank <= n // 2""")
 def seeded_sample(spark, sf_dir):
-    """Sampling operator: a fixed number of train rows per class, by a seeded hash."""
+    """Sampling operator: half of the train rows of each class, by a seeded hash."""
     train = i.features(spark, sf_dir).where("split = 'train'")
-    need = dataset.class_ids(train).withColumn("need", (F.col("labelId") + 1) * 10)
+    need = train.groupBy("labelId").agg(F.expr("count(*) div 2").alias("need"))
     return dataset.sample_per_class(train, need, seed=42)
 
 

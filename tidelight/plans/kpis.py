@@ -67,6 +67,16 @@ def kpi_delta(spark, sf_dir):
     return kpi.kpi_delta(snapshots, "day", ["n", "slow"], partition="view")
 
 
+@PLANS.add("""WITH shots AS (SELECT event_id, event_id AS n, CAST(floor(value) AS BIGINT) AS slow FROM events)
+SELECT *, nullif(n - lag(n) OVER w, 0) AS "nDelta", nullif(slow - lag(slow) OVER w, 0) AS "slowDelta" FROM shots
+WINDOW w AS (ORDER BY event_id)""")
+def kpi_delta_one_view(spark, sf_dir):
+    """One view that holds every snapshot."""
+    value = F.floor("value").cast("long").alias("slow")
+    snapshots = i.table(spark, sf_dir, "events").select("event_id", F.col("event_id").alias("n"), value)
+    return kpi.kpi_delta(snapshots, "event_id", ["n", "slow"])
+
+
 @PLANS.add(f"""WITH {i.PREDICTIONS} SELECT "sourcePath", "processedAt" FROM predictions""")
 def newest_first(spark, sf_dir):
     return kpi.newest_first(i.predictions(spark, sf_dir)).select("sourcePath", "processedAt")
