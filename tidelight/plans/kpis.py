@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tidelight.defaults import LOCAL_ZONE
 from tidelight.functions.instants import to_local
-from tidelight.operators import batches, kpi
+from tidelight.operators import batches, history, kpi
 from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
-from tidelight.session import work_folder
+from tidelight.session import settle, work_folder
 from tidelight.sinks.tables import append_batch, overwrite, write_report
 from tidelight.sources.tables import read_sink
 
@@ -127,6 +127,24 @@ def backlog(spark, sf_dir):
     return kpi.backlog(landing, good.where("event_type IN ('view', 'click')"), bad)
 
 
+@PLANS.add("""SELECT concat('f', event_id, '.jpeg') AS "fileName", phase FROM events e, (SELECT unnest(['before', 'after']) AS phase)
+WHERE event_type <> 'view' AND (phase = 'before' OR event_type NOT IN ('click', 'error'))""")
+def backlog_history(spark, sf_dir):
+    """The backlog against bucketed names: after the views were processed, and after clicks and errors too."""
+    landing = i.predictions(spark, sf_dir)
+    good, bad = i.sinks(spark, sf_dir)
+    folder = work_folder(spark, "names")
+    table = f"processed_{folder[-32:]}"
+    history.open_history(spark, table, folder)
+    try:
+        history.remember(table, good.where("event_type = 'view'"))
+        first = settle(history.backlog_since(landing, table).withColumn("phase", F.lit("before")))
+        history.remember(table, good.where("event_type = 'click'"), bad)
+        return first.unionByName(settle(history.backlog_since(landing, table).withColumn("phase", F.lit("after"))))
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 @PLANS.add("""SELECT CAST(floor(event_id / 100) AS BIGINT) AS "batchId",
   count(*) FILTER (WHERE event_type = 'error') AS rejected FROM events GROUP BY 1""")
 def rejected_per_batch(spark, sf_dir):
