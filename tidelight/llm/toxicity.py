@@ -266,6 +266,5 @@ def score(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_by
 
     odds = F.lit(model.slope) * F.col("c.llr") + F.lit(model.offset)
     value = (1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-30.0)), F.lit(30.0))))).alias("score")
-    return docs.select("doc_id", compare("text").alias("c")).select(
-        "doc_id", held_out, value, (odds >= 0).cast("int").alias("predicted"), "c.llr", "c.n_words"
-    )
+    scored = docs.select("doc_id", compare("text").alias("c")).select("doc_id", held_out, value, "c.llr", "c.n_words")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
