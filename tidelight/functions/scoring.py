@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -19,15 +20,18 @@ Predictor = Callable[[np.ndarray], np.ndarray]
 _LOADED: dict[str, Predictor] = {}
 
 
-def model_at(path: str, load: Callable[[str], Predictor]) -> Callable[[], Predictor]:
-    """Loader for :func:`score` that keeps one model per path in each Python worker."""
+def _loaded(path: str, load: Callable[[str], Predictor]) -> Predictor:
+    if path not in _LOADED:
+        _LOADED[path] = load(path)
+    return _LOADED[path]
+
 
-    def make() -> Predictor:
-        if path not in _LOADED:
-            _LOADED[path] = load(path)
-        return _LOADED[path]
+def model_at(path: str, load: Callable[[str], Predictor]) -> Callable[[], Predictor]:
+    """Loader for :func:`score` that keeps one model per path in each Python worker.
 
-    return make
+    Workers get a function of this module by name. An inner function would bring a copy of the models with it, empty every time.
+    """
+    return partial(_loaded, path, load)
 
 
 def linear_model(weights: np.ndarray, bias: np.ndarray | None = None, softmax: bool = False) -> Callable[[], Predictor]:

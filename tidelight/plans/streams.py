@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import time
 import uuid
 from dataclasses import replace
@@ -10,11 +11,12 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidelight.defaults import UNDECODABLE, StreamConfig
-from tidelight.functions.scoring import linear_model
+from tidelight.functions.scoring import linear_model, model_at
+from tidelight.functions.storage import locate, qualify
 from tidelight.operators.batches import bench_summary
 from tidelight.operators.dataset import load_set
 from tidelight.operators.outcomes import train_outcomes
-from tidelight.operators.replay import emissions, replay_plan
+from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
 from tidelight.plans.datasets import linear_scores_sql, pixel_weights
@@ -29,7 +31,7 @@ from tidelight.sources.tables import metrics as read_metrics
 from tidelight.sources.tables import predictions as read_predictions
 from tidelight.sources.tables import read_sink
 from tidelight.sources.tables import rejected as read_rejected
-from tidelight.streaming.ingest import run_for, start_infer, start_scoring, start_storing, start_train
+from tidelight.streaming.ingest import run_for, start_infer, start_scoring, start_storing, start_train, warm_up
 from tidelight.streaming.telemetry import watch
 from tidelight.streaming.windows import bucket_counts, closed_runs
 
@@ -296,3 +298,45 @@ def stream_closed_runs(spark, sf_dir):
     query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     done = spark.read.schema(runs.schema).parquet(f"{folder}/out")
     return done.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("runStart", "runEnd")})
+
+
+@PLANS.add("""SELECT printf('%s_vec_%d.png', upload, vec_id) AS "fileName", CAST(1 AS BIGINT) AS files
+FROM embeddings, (SELECT unnest(['first', 'second']) AS upload)""")
+def deposited_twice(spark, sf_dir):
+    """The same files uploaded twice: each upload lands under names of its own, and depositing a plan again replaces its files."""
+    files = file_tree(spark, i.image_tree(spark, sf_dir))
+    zone, total = work_folder(spark, "zone"), i.table(spark, sf_dir, "embeddings").count()
+    marks = {}
+    for upload in ("first", "second"):
+        plan = settle(deposit_plan(files, total))
+        deposit(plan, zone)
+        deposit(plan, zone)
+        marks[upload] = plan.select(F.lit(upload).alias("upload"), F.col("relativeTarget").alias("landed"))
+    known = marks["first"].unionByName(marks["second"])
+    landed = landing_files(spark, zone).select(F.col("fileName").alias("landed")).join(known, "landed", "left")
+    original = F.concat_ws("_", "upload", F.substring_index("landed", "_", -2))
+    return landed.groupBy(original.alias("fileName")).agg(F.count("*").alias("files"))
+
+
+@PLANS.add("""SELECT count(*) AS images, CAST(0 AS BIGINT) AS "leftByWarmUp", true AS "onceAProcess" FROM embeddings""")
+def model_loads(spark, sf_dir):
+    """A warm-up that leaves nothing in the sinks, then a drain; each Python worker process loads the model once at most."""
+    cfg, marks, weights = _config(spark), qualify(spark, work_folder(spark, "loads")), pixel_weights()
+
+    def load(path):
+        system, root = locate(marks)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/{os.getpid()}-{uuid.uuid4().hex}.txt") as mark:
+            mark.write(f"{os.getpid()}".encode())
+        return linear_model(weights)()
+
+    model = model_at(marks, load)
+    warm_up(spark, cfg, model)
+    left = read_predictions(spark, cfg.output).count() + read_rejected(spark, cfg.rejected).count()
+    vectors = i.as_outcomes(i.as_feature_rows(i.table_stream(spark, sf_dir, "embeddings")))
+    start_scoring(vectors, cfg, model).awaitTermination()
+    seen = read_predictions(spark, cfg.output).select("fileName").unionByName(read_rejected(spark, cfg.rejected).select("fileName"))
+    loads = spark.read.text(marks).groupBy("value").count().agg(F.max("count").alias("most"))
+    return seen.agg(F.count("*").alias("images")).join(loads).select(  # one row each
+        "images", F.lit(left).cast("long").alias("leftByWarmUp"), (F.col("most") == 1).alias("onceAProcess")
+    )
