@@ -35,7 +35,7 @@ from tidelight.llm.grams import byte_classes, chain, cut_words, pieces_of_texts,
 from tidelight.session import settle
 
 LONGEST = 5
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 STRETCH = 32
 PIECES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 
@@ -132,6 +132,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                      pa.array(counts[held].astype(np.int64))],
                     names=["lang", "phrase", "n"],
                 )
+            pa.default_memory_pool().release_unused()
 
     found = _language(docs).mapInArrow(count, "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
