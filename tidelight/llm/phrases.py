@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from tidelight.llm import words as w
 from tidelight.llm.grams import byte_classes, chain, cut_words, pieces_of_texts, seeded
+from tidelight.llm.tables import arrow_batches
 from tidelight.session import settle
 
 LONGEST = 5
@@ -227,6 +228,11 @@ def frequent_phrases(
     The first has ``lang``, ``phrase``, ``n`` and ``k``, the number of words. The sample is one in ``share`` stretches; ``slack`` is
     by how many standard deviations its support is lowered.
     """
+    with arrow_batches(docs.sparkSession, 8 * CHUNK):
+        return _mine(docs, min_count, share, slack, map_bits)
+
+
+def _mine(docs: DataFrame, min_count: int, share: int, slack: float, map_bits: int) -> tuple[DataFrame, DataFrame, int]:
     words = settle(count_words(docs))
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     single = words.where(F.col("n") >= min_count).select("lang", "phrase", "n")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +30,15 @@ def as_documents(df: DataFrame, text: Column, columns: list[str]) -> DataFrame:
 def crc_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id written as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """Jobs run inside the block send at most about ``most_bytes`` to Python at once, so neither side holds tens of megabytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
