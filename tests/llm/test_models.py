@@ -1,8 +1,10 @@
 """Personal data, toxicity, mixing and fingerprints."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +134,51 @@ def test_toxicity_of_awkward_rows(awkward, nothing, no_labels, spark):
             assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_ratios(texts, toxic, every):
+    """Interpolated Kneser-Ney of both classes, straight from the definition."""
+    cut = lambda text: [x for x in (v.lower().strip(toxicity._OUTER) for v in (text or "").split()) if x]
+    runs, common = {0: set(), 1: set()}, Counter(x for text in every for x in cut(text))
+    for text, y in zip(texts, toxic):
+        words = ["", "", *cut(text)]
+        runs[y] |= {tuple(words[at - 2 : at + 1]) for at in range(2, len(words))}
+    pairs = {y: Counter((b, x) for _, b, x in runs[y]) for y in (0, 1)}
+    kinds = {y: Counter(x for _, x in pairs[y]) for y in (0, 1)}
+    known = set(kinds[0]) | set(kinds[1])
+    everything = sum(common.values())
+
+    def discount(counts):
+        once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    def chance(y, before, word):
+        flat, steep, total = discount(kinds[y]), discount(pairs[y]), sum(kinds[y].values())
+        last = (common[word] + 0.5) / (everything + 0.5 * (len(known) + 1) + 1) if word in known else 1 / (everything + 1)
+        lower = max(kinds[y][word] - flat, 0) / total + flat * len(kinds[y]) / total * last
+        after = [c for (b, _), c in pairs[y].items() if b == before]
+        if not after:
+            return lower
+        return (max(pairs[y][before, word] - steep, 0) + steep * len(after) * lower) / sum(after)
+
+    out = []
+    for text in every:
+        words = ["", *cut(text)]
+        logs = [math.log(chance(1, *two) / chance(0, *two)) for two in zip(words, words[1:])]
+        out.append(sum(logs) / (len(logs) + toxicity.PRIOR_WORDS))
+    return out
+
+
+def test_toxicity_equals_plain_kneser_ney(spark):
+    docs, labels = toxic_tables(spark, 100)
+    docs = docs.unionByName(spark.createDataFrame([(900, "Never seen, never heard zzbad (never) seen"), (901, " … ")], docs.schema))
+    fitting, _ = toxicity._sample(docs, labels, 30, 9_000)
+    sample = fitting.collect()
+    assert 0 < len(sample) < 60 and {r.toxic for r in sample} == {0, 1}
+    rows = docs.orderBy("doc_id").collect()
+    expected = plain_ratios([r.text for r in sample], [r.toxic for r in sample], [r.text for r in rows])
+    got = toxicity.score(docs, labels, 30, 9_000).orderBy("doc_id").collect()
+    assert [r.llr for r in got] == pytest.approx(expected, abs=1e-9)
+
+
 def mixed_tables(spark, n=900):
     rng = random.Random(2)
     pools = {"clean": "alpha beta gamma delta".split(), "poor": "junk spam rubbish".split(), "toxic": "zzbad zzworse".split()}

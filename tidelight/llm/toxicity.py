@@ -9,26 +9,33 @@ the log-likelihoods per word; its slope and offset are fitted on labelled texts
 
 The models are fitted on a bounded sample: of each class equally many rows, in the order of a hash of their id, up to
 ``max_documents`` texts and ``max_bytes`` bytes of text. Counts behind the last backing-off cover all documents.
+A text needs only the difference of both classes' logarithms: one number a pair of words that the sample holds, two a word.
+These tables are made by joins and written to the shared folder, where the tasks read them; the driver sees a dozen sums.
 
 * Null and empty texts have no words and the score of a difference of 0. A label's ``doc_id`` may repeat: one
   toxic label makes a text toxic. Null labels are left out. Without labels of both classes every score is 0.5 or the share of toxic labels.
-* Repeated rows have equal scores. Other columns are never read, whatever their names.
+* Repeated rows have equal scores. Other columns are never read, whatever their names. A text of any length is read whole.
+* Ties: texts are sampled by the hash of their id and then by the id. A score that rounds to a half is predicted 1.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidelight.functions.storage import locate, qualify
 from tidelight.llm import words as w
 from tidelight.llm.tables import crc_of_id
-from tidelight.session import settle
+from tidelight.session import settle, work_folder
 
 FOLDS = 5
 CALIBRATION_FOLD = 4
@@ -66,31 +73,54 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(hit, at, len(sorted_keys))
 
 
-@dataclass
+@lru_cache(maxsize=2)
+def _shelved(path: str) -> tuple[np.ndarray, ...]:
+    """The columns of a table in the shared folder, sorted by the first, a hash; once in a worker process."""
+    system, root = locate(path)
+    columns = [c.to_numpy() for c in pq.read_table(root, filesystem=system).columns]
+    order = np.argsort(columns[0].view(np.uint64))
+    return columns[0].view(np.uint64)[order], *(c[order] for c in columns[1:])
+
+
+def _shelve(df: DataFrame) -> str:
+    folder = work_folder(df.sparkSession, "shelf")
+    df.write.parquet(folder)
+    return qualify(df.sparkSession, folder)
+
+
+@dataclass(frozen=True)
 class Model:
-    """Tables by class (ordinary, toxic), each with one more entry for what is not known."""
+    """Logarithms of toxic over ordinary: where the tables lie, and what holds for all words."""
 
-    words: np.ndarray  # sorted hashes
-    lower: np.ndarray  # probability of each word without its context
-    passed_on: np.ndarray  # share of each context word's mass that goes to the lower order
-    pairs: np.ndarray  # sorted hashes
-    higher: np.ndarray  # discounted share of each pair in its context
+    words: str  # hash, ``context`` (mass that a word passes on to what follows), ``lower`` (probability without context)
+    pairs: str  # hash, ``whole`` (probability of a pair that the sample holds)
+    unknown: float  # probability without context of a word that the sample does not hold
     slope: float = 1.0
     offset: float = 0.0
 
     def difference(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihood ratio per word (toxic over ordinary) and number of words of each text."""
+        (words, context, lower), (pairs, whole) = _shelved(self.words), _shelved(self.pairs)
         owner, hashes = word_hashes(texts)
         before = _before(owner, hashes)
-        at, context = _find(self.words, hashes), _find(self.words, before)
-        both = (at < len(self.words)) & (context < len(self.words))
-        pair = np.full(len(hashes), len(self.pairs))
-        pair[both] = _find(self.pairs, _pair(before[both], hashes[both]))
-        logs = [np.log(self.higher[y][pair] + self.passed_on[y][context] * self.lower[y][at]) for y in (0, 1)]
+        pair = _find(pairs, _pair(before, hashes))
+        apart = np.append(context, 0.0)[_find(words, before)] + np.append(lower, self.unknown)[_find(words, hashes)]
+        ratios = np.where(pair < len(pairs), np.append(whole, 0.0)[pair], apart)
         count = w.per_text(owner, None, len(texts))
-        total = np.bincount(owner, logs[1] - logs[0], minlength=len(texts)) if len(hashes) else np.zeros(len(texts))
+        total = np.bincount(owner, ratios, minlength=len(texts)) if len(hashes) else np.zeros(len(texts))
         return total / (count + PRIOR_WORDS), count
 
+    def compare(self, texts: Column) -> Column:
+        """``llr`` and ``n_words`` of each text."""
+
+        @F.arrow_udf("struct<llr:double,n_words:long>")
+        def difference(column: pa.Array) -> pa.Array:
+            parts = [self.difference(part) for _, part in w.chunks(column)]
+            llr, count = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
+            return pa.StructArray.from_arrays([pa.array(llr, pa.float64()), pa.array(count, pa.int64())], ["llr", "n_words"])
+
+        return difference(texts)
+
 
 def training_rows(labels: DataFrame) -> DataFrame:
     """``doc_id``, ``toxic``, ``fold`` and ``order`` of the labelled rows that may be learnt from."""
@@ -122,8 +152,9 @@ def _sample(docs: DataFrame, labels: DataFrame, max_documents: int, max_bytes: i
         if total[key] > max_bytes and total[key] > row.bytes:  # the first text stays, whatever its size
             over.append(row.doc_id)
             total[key] -= row.bytes
-    if over:
-        texts = texts.where(~F.col("doc_id").isin(over))
+    if over:  # at most 4 max_documents ids
+        left_out = docs.sparkSession.createDataFrame([(doc_id,) for doc_id in over], lengths.select("doc_id").schema)
+        texts = texts.join(F.broadcast(left_out), "doc_id", "left_anti")
     return texts.where("fit"), texts.where("NOT fit")
 
 
@@ -152,6 +183,11 @@ def _discount(once: int, twice: int) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
+@F.arrow_udf(T.LongType())
+def _pair_key(before: pa.Array, word: pa.Array) -> pa.Array:
+    return pa.array(_pair(before.to_numpy().view(np.uint64), word.to_numpy().view(np.uint64)).view(np.int64))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000) -> Model | None:
     """The models of a sample, backed off to counts of all ``docs``; None if a class has no words."""
     fitting, calibrating = _sample(docs, labels, max_documents, max_bytes)
@@ -161,75 +197,70 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_byte
             *(F.sum((F.col("toxic") == y).cast("long")).alias(f"n{y}") for y in classes)
         )
     )
-    by_word = pairs.groupBy("word").agg(*(F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"k{y}") for y in classes))
-    n = [F.sum((F.col(f"n{y}") == c).cast("long")).alias(f"n{y}_{c}") for y in classes for c in (1, 2)]
-    k = [F.sum((F.col(f"k{y}") == c).cast("long")).alias(f"k{y}_{c}") for y in classes for c in (1, 2)]
-    pair_sums = pairs.agg(*n, *(F.coalesce(F.sum(f"n{y}"), F.lit(0)).alias(f"n{y}") for y in classes)).head()
+    total = [F.coalesce(F.sum(f"n{y}"), F.lit(0)).alias(f"n{y}") for y in classes]
+    pair_sums = pairs.agg(*total, *_rare("n")).head()
     if not pair_sums.n0 or not pair_sums.n1:
         return None
-    word_sums = by_word.agg(*k, *(F.sum(f"k{y}").alias(f"k{y}") for y in classes)).head()
-    # Each of these has at most as many rows as the sample has words, so at most max_bytes.
-    known = by_word.orderBy("word").toPandas()
-    contexts = pairs.groupBy("before").agg(*(F.sum(f"n{y}").alias(f"t{y}") for y in classes))
-    contexts = contexts.toPandas()
-    held_pairs = pairs.toPandas()
-
-    words = np.union1d(known.word.to_numpy().view(np.uint64), np.array([_START]))
-    at = np.searchsorted(words, known.word.to_numpy().view(np.uint64))
-    everywhere, unknown = _count_everywhere(docs, words)
-    all_words = everywhere.sum() + unknown
-    # A word that is not known gets the same constant in both classes.
-    shared = np.append((everywhere + 0.5) / (all_words + 0.5 * len(words) + 1), 1 / (all_words + 1))
-    before, word = (held_pairs[name].to_numpy().view(np.uint64) for name in ("before", "word"))
-    keys = _pair(before, word)
-    order = np.argsort(keys)
-    befores = contexts.before.to_numpy().view(np.uint64)
-    sorter = np.argsort(befores)
-    context = sorter[np.searchsorted(befores, before[order], sorter=sorter)]
-    place = np.searchsorted(words, before[order])
-    lower, passed_on, higher = [], [], []
-    for y in classes:
-        flat = _discount(word_sums[f"k{y}_1"], word_sums[f"k{y}_2"])
-        kept = np.zeros(len(words) + 1)
-        kept[at] = np.maximum(known[f"k{y}"].to_numpy() - flat, 0) / word_sums[f"k{y}"]
-        lower.append(kept + (1 - kept.sum()) * shared)
-        steep = _discount(pair_sums[f"n{y}_1"], pair_sums[f"n{y}_2"])
-        total = np.maximum(contexts[f"t{y}"].to_numpy()[context], 1) if len(context) else np.zeros(0)
-        share = np.maximum(held_pairs[f"n{y}"].to_numpy()[order] - steep, 0) / total
-        higher.append(np.append(share, 0.0))
-        passed_on.append(1 - np.bincount(place, share, minlength=len(words) + 1))
-    model = Model(words, np.stack(lower), np.stack(passed_on), keys[order], np.stack(higher))
-
-    held = calibrating.select("toxic", "text").toArrow()
-    x, y = [], held.column("toxic").to_numpy()
-    for _, part in w.chunks(held.column("text")):
-        x.append(model.difference(part)[0])
-    x = np.concatenate(x) if x else np.zeros(0)
+    by_word = settle(pairs.groupBy("word").agg(*(F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"k{y}") for y in classes)))
+    held = [F.sum((F.col(f"k{y}") > 0).cast("long")).alias(f"held{y}") for y in classes]
+    word_sums = by_word.agg(*(F.sum(f"k{y}").alias(f"k{y}") for y in classes), *held, F.count("*").alias("words"), *_rare("k")).head()
+    everywhere = settle(_count_everywhere(docs, _shelve(by_word.select("word"))))
+    all_words = everywhere.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head().n
+
+    # The discounts are below 1, so what they take away is one discount for each pair or word that occurs.
+    flat, steep = ([_discount(sums[f"{c}{y}_1"], sums[f"{c}{y}_2"]) for y in classes] for c, sums in (("k", word_sums), ("n", pair_sums)))
+    rest = [flat[y] * word_sums[f"held{y}"] / word_sums[f"k{y}"] for y in classes]
+    shared = (F.coalesce("n", F.lit(0)) + 0.5) / F.lit(all_words + 0.5 * (word_sums.words + 1) + 1)  # the start mark is a word
+    lower = [F.greatest(F.col(f"k{y}") - flat[y], F.lit(0.0)) / word_sums[f"k{y}"] + rest[y] * shared for y in classes]
+    words = by_word.join(everywhere, "word", "left").select("word", *(lower[y].alias(f"lower{y}") for y in classes))
+    sums = (F.sum(f"n{y}").alias(f"t{y}") for y in classes)
+    kinds = (F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"c{y}") for y in classes)
+    passed = [F.when(F.col(f"t{y}") > 0, steep[y] * F.col(f"c{y}") / F.col(f"t{y}")).otherwise(1.0).alias(f"passed{y}") for y in classes]
+    contexts = pairs.groupBy("before").agg(*sums, *kinds).select("before", "t0", "t1", *passed)
+    whole = [
+        F.greatest(F.col(f"n{y}") - steep[y], F.lit(0.0)) / F.greatest(f"t{y}", F.lit(1)) + F.col(f"passed{y}") * F.col(f"lower{y}")
+        for y in classes
+    ]
+    known_pairs = pairs.join(contexts, "before").join(words, "word").select(
+        _pair_key("before", "word").alias("pair"), (F.ln(whole[1]) - F.ln(whole[0])).alias("whole")
+    )
+    named = contexts.select(F.col("before").alias("word"), (F.ln("passed1") - F.ln("passed0")).alias("context"))
+    both = named.join(words, "word", "full").select(
+        "word", F.coalesce("context", F.lit(0.0)).alias("context"), F.coalesce(F.ln("lower1") - F.ln("lower0"), F.lit(0.0)).alias("lower")
+    )
+    model = Model(_shelve(both), _shelve(known_pairs), float(np.log(rest[1] / rest[0])))
+
+    known = calibrating.select("toxic", model.compare("text")["llr"].alias("llr")).toArrow()  # at most 2 max_documents numbers
+    x, y = known.column("llr").to_numpy(), known.column("toxic").to_numpy()
     if len(x) and 0 < y.sum() < len(y):
         by_class = training_rows(labels).groupBy("toxic").count().collect()
         share = {row.toxic: row["count"] for row in by_class}
         weight = np.where(y == 1, share[1] / y.sum(), share[0] / (len(y) - y.sum()))
-        model.slope, model.offset = _calibrate(x, y, weight / weight.mean())
+        order = np.lexsort((x, y))  # the same sums, however the rows arrive
+        slope, offset = _calibrate(x[order], y[order], (weight / weight.mean())[order])
+        model = replace(model, slope=slope, offset=offset)
     return model
 
 
-def _count_everywhere(docs: DataFrame, known: np.ndarray) -> tuple[np.ndarray, int]:
-    """How often all ``docs`` hold each known word, and how many other words they hold."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(known)
+def _rare(name: str) -> list[Column]:
+    """How many counts of each class are 1 and 2."""
+    return [F.sum((F.col(f"{name}{y}") == c).cast("long")).alias(f"{name}{y}_{c}") for y in (0, 1) for c in (1, 2)]
+
+
+def _count_everywhere(docs: DataFrame, known: str) -> DataFrame:
+    """``word`` and ``n``: how often all ``docs`` hold each known word, and under a null word how many others they hold."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary.value
+        (words,) = _shelved(known)
         total = np.zeros(len(words) + 1, np.int64)
         for batch in batches:
             for _, part in w.chunks(batch.column("text")):
                 total += np.bincount(_find(words, word_hashes(part)[1]), minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+        hashes = pa.array(np.append(words, np.uint64(0))[at].view(np.int64), mask=at == len(words))
+        yield pa.RecordBatch.from_arrays([hashes, pa.array(total[at])], names=["word", "n"])
 
-    gathered = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(len(known) + 1)
-    total[gathered["at"].to_numpy()] = gathered["n"].to_numpy()
-    return total[:-1], int(total[-1])
+    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -256,15 +287,7 @@ def score(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_by
             "doc_id", held_out, F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
             F.lit(0.0).alias("llr"), F.lit(None).cast("long").alias("n_words"),
         )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("struct<llr:double,n_words:long>")
-    def compare(texts: pa.Array) -> pa.Array:
-        parts = [shared.value.difference(part) for _, part in w.chunks(texts)]
-        llr, count = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
-        return pa.StructArray.from_arrays([pa.array(llr, pa.float64()), pa.array(count, pa.int64())], ["llr", "n_words"])
-
     odds = F.lit(model.slope) * F.col("c.llr") + F.lit(model.offset)
     value = (1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-30.0)), F.lit(30.0))))).alias("score")
-    scored = docs.select("doc_id", compare("text").alias("c")).select("doc_id", held_out, value, "c.llr", "c.n_words")
+    scored = docs.select("doc_id", model.compare("text").alias("c")).select("doc_id", held_out, value, "c.llr", "c.n_words")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
