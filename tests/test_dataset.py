@@ -225,3 +225,27 @@ def test_a_repeated_key_cannot_be_moved(spark):
     df = spark.createDataFrame(rows, "sourcePath string, split string, labelId int")
     with pytest.raises(Exception, match="repeated key"):
         dataset.rebalance_validation(df, 3, classes=[0]).collect()
+
+
+def test_the_slope_of_a_fit_equals_brute_force_and_tells_an_optimum(spark):
+    rng = np.random.default_rng(5)
+    y = rng.choice(3, 300, p=[0.6, 0.3, 0.1])
+    x = (rng.normal(size=(300, 4)) * [1, 3, 0.2, 0] + np.eye(4)[y]).astype(np.float32)
+    x[:, 3] = 2
+    rows = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(y, x)], "labelId int, features array<float>")
+    slopes = {}
+    for most in (2, 200):
+        model = training.train_classifier(rows, max_iter=most, tolerance=1e-10)
+        got = training.optimality(rows, model).first()
+        assert (got.images, got.classes) == (300, 3)
+        w = (300 / (3 * np.bincount(y)))[y]
+        v = x.astype(float)
+        z = v @ model.coefficientMatrix.toArray().T + np.asarray(model.interceptVector)
+        p = np.exp(z - z.max(1, keepdims=True))
+        off = (p / p.sum(1, keepdims=True) - np.eye(3)[y]) * w[:, None] / w.sum()
+        middle = (v * w[:, None]).sum(0) / w.sum()
+        scale = np.sqrt(((v - middle) ** 2 * w[:, None]).sum(0) / (w.sum() - (w**2).sum() / w.sum()))[:3]
+        steep = (off.T @ v)[:, :3] / scale + 0.01 * scale * model.coefficientMatrix.toArray()[:, :3]
+        assert got.slope == pytest.approx(max(np.abs(steep).max(), np.abs(off.sum(0)).max()), abs=1e-9)
+        slopes[most] = got.slope
+    assert slopes[200] < 1e-5 < 1e-2 < slopes[2]

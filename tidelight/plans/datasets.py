@@ -265,3 +265,13 @@ def trained_classifier(spark, sf_dir):
     parts = dataset.split_frames(rows)
     model = training.train_classifier(parts["train"], max_iter=20)
     return training.evaluate(score(parts["test"], training.as_predictor(model), 8, 8))
+
+
+@PLANS.add(f"""WITH {i.FEATURES} SELECT count(*) AS images, CAST(count(DISTINCT "labelId") AS INT) AS classes, true AS optimal
+FROM features WHERE split = 'train'""")
+def trained_optimum(spark, sf_dir):
+    """The weighted fit on whole vectors is the optimum: no slope of its convex loss is above a thousandth."""
+    train = i.features(spark, sf_dir).where("split = 'train'")
+    model = training.train_classifier(train, max_iter=200, tolerance=1e-9)
+    at = training.optimality(train, model)
+    return at.select("images", "classes", (F.col("slope") < 1e-3).alias("optimal"))
