@@ -18,6 +18,7 @@ from tidelight.sources import tables
 from tidelight.sources.files import empty_files, file_tree, landing_files
 from tidelight.streaming.ingest import run_for, start_infer, start_train, warm_up
 from tidelight.streaming.telemetry import watch
+from tidelight.streaming.windows import closed_bucket_runs
 
 GREY = {name: png(4, 4, bytes([value] * 48)) for name, value in {"dark": 10, "light": 250}.items()}
 # Class 0 for dark images, class 2 for light ones.
@@ -180,3 +181,33 @@ def test_deposits_get_fresh_names(spark, tmp_path):
 @pytest.mark.parametrize("uri", ["file:/tmp/x", "file:///tmp/x", "/tmp/x"])
 def test_local_uris_are_understood(uri):
     assert locate(uri)[1] == "/tmp/x"
+
+
+def test_runs_of_a_single_key_split_exactly_and_drop_late_rows(spark, tmp_path):
+    zone = tmp_path / "rows"
+    zone.mkdir()
+    # Pauses of 100 s (same run), 100.000001 s (a new run), and a row far behind the watermark in the second file.
+    base = 1_700_000_000_000_000
+    batches = [
+        [0, 5_000_000, 105_000_000, 205_000_001, 5_000_000_000],
+        [1_000_000, 5_050_000_000, 9_000_000_000],
+        [9_000_000_000],
+    ]
+    schema = "zone string, at timestamp"
+    for number, micros in enumerate(batches):
+        rows = spark.createDataFrame([(base + m,) for m in micros], "m long")
+        rows = rows.selectExpr("'a' AS zone", "timestamp_micros(m) AS at").union(spark.sql("SELECT 'a', CAST(NULL AS timestamp)"))
+        rows.coalesce(1).write.parquet(str(zone / f"n={number}"))
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(zone))
+        runs = closed_bucket_runs(stream, "zone", "at", 100, "10 seconds")
+        query = runs.writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+        query = query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        kept = sum(operator.numRowsTotal for operator in query.lastProgress.stateOperators)
+        assert kept <= 4  # open buckets and sessions, not rows
+    done = spark.read.parquet(str(tmp_path / "out"))
+    found = done.selectExpr("unix_micros(runStart)", "unix_micros(runEnd)", "rows").collect()
+    expected = [(0, 105_000_000, 3), (205_000_001, 205_000_001, 1), (5_000_000_000, 5_050_000_000, 2)]
+    assert sorted(map(tuple, found)) == [(base + a, base + b, n) for a, b, n in expected]
+    with pytest.raises(ValueError):
+        closed_bucket_runs(done, "zone", "runStart", 1, "0 seconds", parts=7)

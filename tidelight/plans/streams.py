@@ -33,7 +33,7 @@ from tidelight.sources.tables import read_sink
 from tidelight.sources.tables import rejected as read_rejected
 from tidelight.streaming.ingest import run_for, start_infer, start_scoring, start_storing, start_train, warm_up
 from tidelight.streaming.telemetry import watch
-from tidelight.streaming.windows import bucket_counts, closed_runs
+from tidelight.streaming.windows import bucket_counts, closed_bucket_runs, closed_runs
 
 PLANS = Catalog()
 
@@ -300,6 +300,26 @@ def stream_closed_runs(spark, sf_dir):
     return done.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("runStart", "runEnd")})
 
 
+@PLANS.add("""WITH buckets AS (SELECT epoch_us(ts) // 12000000 AS bucket, min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi, count(*) AS n
+  FROM events WHERE ts IS NOT NULL GROUP BY 1),
+gaps AS (SELECT *, lo - lag(hi) OVER w > 120000000 AS pause, bucket - lag(bucket) OVER w > 10 AS apart FROM buckets
+  WINDOW w AS (ORDER BY bucket)),
+numbered AS (SELECT *, sum(CASE WHEN pause THEN 1 ELSE 0 END) OVER w AS run,
+  sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER w AS session FROM gaps WINDOW w AS (ORDER BY bucket ROWS UNBOUNDED PRECEDING)),
+sessions AS (SELECT session, (max(bucket) + 1) * 12000000 - 1 + 126000000 AS ends FROM numbered GROUP BY 1)
+SELECT 'all' AS zone, make_timestamp(min(lo)) AS "runStart", make_timestamp(max(hi)) AS "runEnd", CAST(sum(n) AS BIGINT) AS rows
+FROM numbered JOIN sessions USING (session) WHERE ends <= (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events) GROUP BY run""")
+def stream_single_key_runs(spark, sf_dir):
+    """Runs of one key that holds all rows, in two chained stateful steps."""
+    folder = work_folder(spark, "stream")
+    events = _event_stream(spark, sf_dir).select(F.lit("all").alias("zone"), "depositedAt")
+    runs = closed_bucket_runs(events, "zone", "depositedAt", 120, "0 seconds")
+    query = runs.writeStream.format("parquet").option("path", f"{folder}/out").outputMode("append")
+    query.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    done = spark.read.schema(runs.schema).parquet(f"{folder}/out")
+    return done.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("runStart", "runEnd")})
+
+
 @PLANS.add("""SELECT printf('%s_vec_%d.png', upload, vec_id) AS "fileName", CAST(1 AS BIGINT) AS files
 FROM embeddings, (SELECT unnest(['first', 'second']) AS upload)""")
 def deposited_twice(spark, sf_dir):
