@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelight.defaults import UNDECODABLE, AugmentConfig
 from tidelight.functions import images
@@ -103,17 +104,31 @@ def test_no_distortion_keeps_the_vector(spark):
 
 
 def test_shift_moves_pixels_and_fills_black():
-    class Fixed:
-        def uniform(self, low, high, size=None):
-            return np.full(size, high) if size else high
-
-    cfg = AugmentConfig(0.25, 0, 0, 0, 0, 0, 0)
+    still = dict.fromkeys(("zoomY", "zoomX", "shiftY", "shiftX", "turn", "contrast", "noise"), 0)
     vector = np.arange(1, 17, dtype=np.float32) / 16
-    moved = images._distort(vector, 4, 4, Fixed(), cfg).reshape(4, 4)
+    moved = images._distort(vector, 4, 4, still | {"shiftY": 0.25}, 0).reshape(4, 4)
     assert (moved[0] == 0).all()
     assert moved[1:] == pytest.approx(vector.reshape(4, 4)[:3])
 
 
+def test_counters_give_normal_numbers_and_their_neighbours_are_independent():
+    drawn = images.counter_normals(12345, 200_000)
+    assert abs(drawn.mean()) < 0.01 and abs(drawn.std() - 1) < 0.01
+    assert abs(np.corrcoef(drawn[:-1], drawn[1:])[0, 1]) < 0.01
+    assert (images.counter_normals(12345, 10) == drawn[:10]).all()
+    assert np.isfinite(images.counter_normals(2**32 - 1, 1000)).all()
+
+
+def test_draws_stay_in_their_ranges_and_take_null_keys(spark):
+    cfg = AugmentConfig()
+    keys = spark.range(2000).select(F.when(F.col("id") > 0, F.concat(F.lit("k"), "id")).alias("key"), F.lit(3).alias("copyNo"))
+    got = keys.select(images.drawn_distortion(cfg, "key", 9, "copyNo").alias("d")).select("d.*").toPandas()
+    assert not got.isna().any().any() and got.noise.between(0, 2**32 - 1).all()
+    for name, low, high in (("zoomY", -0.2, 0.1), ("shiftY", -0.12, 0.12), ("shiftX", -0.1, 0.1), ("turn", -0.04, 0.04), ("contrast", -0.15, 0.15)):
+        assert got[name].between(low, high).all() and got[name].nunique() == 2000
+        assert abs(got[name].mean() - (low + high) / 2) < 0.1 * (high - low)
+
+
 def test_copies_depend_on_key_number_and_seed_only(spark):
     df = features_frame(spark)
     first = sorted(map(str, images.augment(df, 3, seed=1).collect()))

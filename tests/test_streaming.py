@@ -3,6 +3,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelight import schemas
 from tidelight.defaults import EMPTY_FILE, UNDECODABLE, StreamConfig
@@ -13,7 +14,7 @@ from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans.inputs import png
 from tidelight.session import work_folder
 from tidelight.sinks.deposit import deposit, replay
-from tidelight.sinks.tables import append_batch, quarantine_empty
+from tidelight.sinks.tables import append_batch, quarantine_empty, write_inferred
 from tidelight.sources import tables
 from tidelight.sources.files import empty_files, file_tree, landing_files
 from tidelight.streaming.ingest import run_for, start_infer, start_train, warm_up
@@ -211,3 +212,28 @@ def test_runs_of_a_single_key_split_exactly_and_drop_late_rows(spark, tmp_path):
     assert sorted(map(tuple, found)) == [(base + a, base + b, n) for a, b, n in expected]
     with pytest.raises(ValueError):
         closed_bucket_runs(done, "zone", "runStart", 1, "0 seconds", parts=7)
+
+
+def outcome_rows(spark, bad):
+    good = F.col("id") >= bad
+    return spark.range(0, 30, 1, 3).select(
+        F.concat(F.lit("/in/"), "id").alias("sourcePath"), F.concat(F.lit("f"), "id").alias("fileName"),
+        F.current_timestamp().alias("depositedAt"), F.lit(2).alias("featureWidth"), F.lit(2).alias("featureHeight"),
+        F.array(*[F.lit(0.5).cast("float")] * 4).alias("features"), good.alias("ok"), F.when(good, "").otherwise("broken").alias("error"),
+    )
+
+
+@pytest.mark.parametrize("bad", [0, 4, 30])
+def test_a_batch_is_counted_by_the_jobs_that_write_it(spark, tmp_path, bad):
+    model = lambda: lambda images: np.tile(np.float32([0.2, 0.8]), (len(images), 1))
+    output, rejected = f"{tmp_path}/out", f"{tmp_path}/rejected"
+    context = spark.sparkContext
+    context.setJobGroup(f"batch-{bad}", "one batch")
+    try:
+        written = write_inferred(outcome_rows(spark, bad), 0, "w", output, rejected, model, 2, 2, names={0: "a", 1: "b"})
+        jobs = context.statusTracker().getJobIdsForGroup(f"batch-{bad}")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert written == (30 - bad, bad)
+    assert len(jobs) <= 4  # scoring into the cache, a pass over it, and one write to each sink
+    assert tables.rejected(spark, rejected).count() == bad

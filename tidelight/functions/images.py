@@ -198,14 +198,52 @@ def luminance_expr(image: str = "image") -> Column:
 # ---- random distortions for training ---------------------------------------
 
 
-def _distort(vector: np.ndarray, height: int, width: int, rng: np.random.Generator, cfg: AugmentConfig) -> np.ndarray:
+# The step between counters and the factors of the 32-bit mix.
+COUNTER_STEP, FIRST_FACTOR, SECOND_FACTOR = 2654435769, 2146121005, 2221713035
+_DRAWS = ("zoomY", "zoomX", "shiftY", "shiftX", "turn", "contrast")
+
+
+def uniform_draw(key: Column | str, seed: int, copy: Column | str, counter: int) -> Column:
+    """A number in [0, 1): the first 52 bits of the MD5 of ``key|seed|copy|counter``, so any engine draws the same."""
+    return F.conv(F.substring(_counter_digest(key, seed, copy, counter), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def _counter_digest(key: Column | str, seed: int, copy: Column | str, counter: int) -> Column:
+    name = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
+    number = (F.col(copy) if isinstance(copy, str) else copy).cast("string")
+    return F.md5(F.concat_ws("|", name, F.lit(str(seed)), number, F.lit(str(counter))).cast("binary"))
+
+
+def drawn_distortion(cfg: AugmentConfig, key: Column | str, seed: int, copy: Column | str) -> Column:
+    """The parameters of one distorted copy as a struct; ``noise`` (32 bits) is where its counters of noise begin."""
+    ranges = (
+        (-cfg.zoom_in_max, cfg.zoom_out_max), (-cfg.zoom_in_max, cfg.zoom_out_max), (-cfg.vertical_shift, cfg.vertical_shift),
+        (-cfg.horizontal_shift, cfg.horizontal_shift), (-cfg.rotation, cfg.rotation), (-cfg.contrast, cfg.contrast),
+    )
+    drawn = [
+        (F.lit(low) + uniform_draw(key, seed, copy, at) * F.lit(high - low)).alias(name)
+        for at, (name, (low, high)) in enumerate(zip(_DRAWS, ranges))
+    ]
+    noise = F.conv(F.substring(_counter_digest(key, seed, copy, len(_DRAWS)), 1, 8), 16, 10).cast("long")
+    return F.struct(*drawn, noise.alias("noise"))
+
+
+def counter_normals(begin: int, count: int) -> np.ndarray:
+    """``count`` standard normal numbers from the counters ``begin``, ``begin`` + 1, ...: two mixed counters each."""
+    low = np.uint64(0xFFFFFFFF)
+    x = (np.uint64(begin) + np.arange(2 * count, dtype=np.uint64) * np.uint64(COUNTER_STEP)) & low
+    x = (x ^ x >> np.uint64(16)) * np.uint64(FIRST_FACTOR) & low
+    x = (x ^ x >> np.uint64(15)) * np.uint64(SECOND_FACTOR) & low
+    u = ((x ^ x >> np.uint64(16)).astype(np.float64) + 0.5) / 4294967296.0
+    return np.sqrt(-2 * np.log(u[::2])) * np.cos(2 * np.pi * u[1::2])
+
+
+def _distort(vector: np.ndarray, height: int, width: int, drawn: dict[str, float], noise_stddev: float) -> np.ndarray:
     """Zoom, shift, rotate (bilinear, black outside), then contrast and noise."""
-    zoom_y, zoom_x = 1 + rng.uniform(-cfg.zoom_in_max, cfg.zoom_out_max, 2)
-    shift_y = rng.uniform(-cfg.vertical_shift, cfg.vertical_shift) * height
-    shift_x = rng.uniform(-cfg.horizontal_shift, cfg.horizontal_shift) * width
-    turn = rng.uniform(-cfg.rotation, cfg.rotation) * 2 * np.pi
-    contrast = 1 + rng.uniform(-cfg.contrast, cfg.contrast)
-    noise = rng.normal(0.0, cfg.noise_stddev, height * width) if cfg.noise_stddev else 0.0
+    zoom_y, zoom_x = 1 + drawn["zoomY"], 1 + drawn["zoomX"]
+    shift_y, shift_x = drawn["shiftY"] * height, drawn["shiftX"] * width
+    turn = drawn["turn"] * 2 * np.pi
+    noise = counter_normals(drawn["noise"], height * width) * noise_stddev if noise_stddev else 0.0
 
     y, x = np.mgrid[0:height, 0:width] - np.array([(height - 1) / 2, (width - 1) / 2])[:, None, None]
     source_y = (np.cos(turn) * y - np.sin(turn) * x) * zoom_y + (height - 1) / 2 - shift_y
@@ -222,7 +260,7 @@ def _distort(vector: np.ndarray, height: int, width: int, rng: np.random.Generat
         + framed[top + 1, left + 1] * down * right
     )
     mean = moved.mean()
-    return (np.clip((moved - mean) * contrast + mean, 0, 1).ravel() + noise).astype(np.float32)
+    return (np.clip((moved - mean) * (1 + drawn["contrast"]) + mean, 0, 1).ravel() + noise).astype(np.float32)
 
 
 def augment(
@@ -230,31 +268,23 @@ def augment(
 ) -> DataFrame:
     """``copies`` randomly distorted rows per feature row, numbered by ``copyNo``.
 
-    The random numbers of a copy depend on the key, the copy number and the seed
-    alone, so a retried task writes the same rows.
+    The random numbers are drawn by expressions from the key, the copy number, the seed and a counter alone, so a retried
+    task, or another engine, writes the same rows. Arrow batches carry them to the kernel that moves the pixels.
     """
     numbered = df.withColumn("copyNo", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    seeded = numbered.withColumn("_seed", F.xxhash64(F.lit(seed), key, "copyNo"))
+    drawn = numbered.withColumn("_drawn", drawn_distortion(cfg, key, seed, "copyNo"))
     schema = numbered.schema
     names = numbered.columns
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at: Callable[[str], pa.Array] = lambda c: batch.column(batch.schema.get_field_index(c))
-            vectors, heights, widths, seeds = (
-                at("features"), at("featureHeight").to_numpy(), at("featureWidth").to_numpy(), at("_seed").to_numpy()
-            )
+            vectors, heights, widths = at("features"), at("featureHeight").to_numpy(), at("featureWidth").to_numpy()
             rows = [
-                _distort(
-                    np.asarray(vectors[i].values, np.float32),
-                    int(heights[i]),
-                    int(widths[i]),
-                    np.random.default_rng(int(seeds[i]) % 2**63),
-                    cfg,
-                )
-                for i in range(batch.num_rows)
+                _distort(np.asarray(vectors[i].values, np.float32), int(heights[i]), int(widths[i]), parameters, cfg.noise_stddev)
+                for i, parameters in enumerate(at("_drawn").to_pylist())
             ]
             columns = [_float_lists(rows) if c == "features" else at(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return seeded.mapInArrow(stage, schema)
+    return drawn.mapInArrow(stage, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelight.defaults import AugmentConfig
-from tidelight.functions.images import augment, luminance_expr, vectorize
+from tidelight.functions.images import COUNTER_STEP, FIRST_FACTOR, SECOND_FACTOR, augment, luminance_expr, vectorize
 from tidelight.operators.dataset import rebalance_validation, split_class_counts
 from tidelight.operators.outcomes import train_outcomes
 from tidelight.plans import inputs as i
@@ -141,7 +141,8 @@ def undistorted_copies(spark, sf_dir):
     return values.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
-@PLANS.add()
+@PLANS.add(f"""WITH {i.FEATURES} SELECT "sourcePath", "labelId", CAST(c AS INT) AS "copyNo", len(features) AS size
+FROM features, (SELECT unnest([0, 1]) AS c) WHERE split = 'train'""")
 def augmented_rows(spark, sf_dir):
     """Two distorted copies of every train vector."""
     train = i.features(spark, sf_dir).where("split = 'train'")
@@ -149,6 +150,61 @@ def augmented_rows(spark, sf_dir):
     return copies.select("sourcePath", "labelId", "copyNo", F.size("features").alias("size"))
 
 
+# The distortions spelled out per pixel of an 8 x 8 vector: numbers drawn by MD5 and by mixed counters, bilinear samples.
+def _distorted_sql(cfg: AugmentConfig, side: int = 8) -> str:
+    def draw(counter: int, low: float, high: float) -> str:
+        digits = f"substr(md5(\"sourcePath\" || '|0|' || c || '|{counter}'), 1, 13)"
+        return f"({low}::DOUBLE + CAST('0x' || {digits} AS BIGINT) / 4503599627370496.0::DOUBLE * {high - low}::DOUBLE)"
+
+    def uniform(nth: int) -> str:
+        return f"((x{nth}d + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+
+    def level(down: int, right: int) -> str:
+        y, x = f"(CAST(top AS INT) + {down})", f"(CAST(lft AS INT) + {right})"
+        inside = f"{y} BETWEEN 1 AND {side} AND {x} BETWEEN 1 AND {side}"
+        return f"CASE WHEN {inside} THEN CAST(features[({y} - 1) * {side} + {x}] AS DOUBLE) ELSE 0.0::DOUBLE END"
+
+    half = (side - 1) / 2
+    mixed = ", ".join(
+        f"CAST((noise + (2 * p + {nth}) * {COUNTER_STEP}::HUGEINT) % 4294967296 AS BIGINT) AS x{nth}a" for nth in (0, 1)
+    )
+    steps = [("a", "b", 16, f" * {FIRST_FACTOR}::HUGEINT % 4294967296"), ("b", "c", 15, f" * {SECOND_FACTOR}::HUGEINT % 4294967296"), ("c", "d", 16, "")]
+    rounds = "\n".join(
+        f"mix_{new} AS (SELECT *, " + ", ".join(
+            f"CAST(xor(x{nth}{old}, x{nth}{old} >> {shift}){factor} AS BIGINT) AS x{nth}{new}" for nth in (0, 1)
+        ) + f" FROM mix_{old}),"
+        for old, new, shift, factor in steps
+    )
+    return f"""drawn AS (SELECT "sourcePath", c, features, 1 + {draw(0, -cfg.zoom_in_max, cfg.zoom_out_max)} AS zy,
+  1 + {draw(1, -cfg.zoom_in_max, cfg.zoom_out_max)} AS zx, {draw(2, -cfg.vertical_shift, cfg.vertical_shift)} * {side} AS sy,
+  {draw(3, -cfg.horizontal_shift, cfg.horizontal_shift)} * {side} AS sx, {draw(4, -cfg.rotation, cfg.rotation)} * 2 * pi() AS turn,
+  1 + {draw(5, -cfg.contrast, cfg.contrast)} AS contrast, CAST('0x' || substr(md5("sourcePath" || '|0|' || c || '|6'), 1, 8) AS BIGINT) AS noise
+  FROM features, (SELECT unnest([0, 1]) AS c) WHERE split = 'train'),
+pixels AS (SELECT *, unnest(range({side * side})) AS p FROM drawn),
+centred AS (SELECT *, p // {side} - {half}::DOUBLE AS y, p % {side} - {half}::DOUBLE AS x FROM pixels),
+placed AS (SELECT *,
+  greatest(0.0::DOUBLE, least({side + 1}.0::DOUBLE, (cos(turn) * y - sin(turn) * x) * zy + {half}::DOUBLE - sy + 1)) AS py,
+  greatest(0.0::DOUBLE, least({side + 1}.0::DOUBLE, (sin(turn) * y + cos(turn) * x) * zx + {half}::DOUBLE - sx + 1)) AS px FROM centred),
+cells AS (SELECT *, least(floor(py), {side}) AS top, least(floor(px), {side}) AS lft FROM placed),
+parts AS (SELECT *, py - top AS down, px - lft AS rgt FROM cells),
+moved AS (SELECT *, ({level(0, 0)}) * (1 - down) * (1 - rgt) + ({level(1, 0)}) * down * (1 - rgt) + ({level(0, 1)}) * (1 - down) * rgt
+  + ({level(1, 1)}) * down * rgt AS value FROM parts),
+mix_a AS (SELECT *, avg(value) OVER (PARTITION BY "sourcePath", c) AS mean, {mixed} FROM moved),
+{rounds}
+distorted AS (SELECT "sourcePath", c, p, greatest(0.0::DOUBLE, least(1.0::DOUBLE, (value - mean) * contrast + mean))
+  + {cfg.noise_stddev}::DOUBLE * sqrt(-2 * ln({uniform(0)})) * cos(2 * pi() * {uniform(1)}) AS value FROM mix_d)"""
+
+
+@PLANS.add(f"""WITH {i.FEATURES}, {_distorted_sql(AugmentConfig())}
+SELECT "sourcePath", CAST(c AS INT) AS "copyNo", CAST(p AS INT) AS pixel, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 5) AS value FROM distorted""")
+def distorted_pixels(spark, sf_dir):
+    """Every pixel of two distorted copies of every train vector: zoom, shift, turn, contrast and noise."""
+    train = i.features(spark, sf_dir).where("split = 'train'")
+    copies = augment(train.select("sourcePath", "featureWidth", "featureHeight", "features"), copies=2)
+    values = copies.select("sourcePath", "copyNo", F.posexplode("features").alias("pixel", "value"))
+    return values.withColumn("value", F.round(F.col("value").cast("double"), 5))
+
+
 @PLANS.add(f"""WITH {i.BYTES} SELECT "sourcePath", label,
   CASE label % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 END AS "labelId", label % 3 < 2 AS ok FROM bytes""")
 def train_outcome_rows(spark, sf_dir):
