@@ -1,5 +1,7 @@
 import time
+import uuid
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -12,13 +14,14 @@ from tidelight.functions.storage import locate
 from tidelight.operators.batches import bench_summary
 from tidelight.operators.replay import deposit_plan, emissions, replay_plan
 from tidelight.plans.inputs import png
-from tidelight.session import work_folder
+from tidelight.plans import streams
+from tidelight.session import file_stream_settings, work_folder
 from tidelight.sinks.deposit import deposit, replay
 from tidelight.sinks.tables import append_batch, quarantine_empty, write_inferred
 from tidelight.sources import tables
 from tidelight.sources.files import empty_files, file_tree, landing_files
 from tidelight.streaming.ingest import run_for, start_infer, start_train, warm_up
-from tidelight.streaming.telemetry import watch
+from tidelight.streaming.telemetry import MetricsListener, watch
 from tidelight.streaming.windows import closed_bucket_runs
 
 GREY = {name: png(4, 4, bytes([value] * 48)) for name, value in {"dark": 10, "light": 250}.items()}
@@ -237,3 +240,31 @@ def test_a_batch_is_counted_by_the_jobs_that_write_it(spark, tmp_path, bad):
     assert written == (30 - bad, bad)
     assert len(jobs) <= 4  # scoring into the cache, a pass over it, and one write to each sink
     assert tables.rejected(spark, rejected).count() == bad
+
+
+def vectors_table(spark, tmp_path, count):
+    rows = spark.range(count).select(
+        F.col("id").alias("vec_id"), (F.col("id") % 10).cast("int").alias("label"),
+        F.transform(F.sequence(F.lit(1), F.lit(64)), lambda x: (x / 200).cast("float")).alias("embedding"),
+    )
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["stream_image_files"])
+def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch, name):
+    key, tables_at = "spark.sql.sources.parallelPartitionDiscovery.parallelism", vectors_table(spark, tmp_path, 400)
+    before, begun, limit = spark.conf.get(key), [], min(64, spark.sparkContext.defaultParallelism)
+    for starter in ("start_infer", "start_train"):
+        real = getattr(streams, starter)
+        monkeypatch.setattr(streams, starter, lambda *a, real=real: begun.append(real(*a)) or begun[-1])
+    spark.conf.set(key, "10000")
+    try:
+        assert getattr(streams, name)(spark, tables_at).count()
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
+    status = spark.sparkContext.statusTracker()
+    jobs = [status.getJobInfo(job) for query in begun for job in status.getJobIdsForGroup(str(query.runId))]
+    sizes = [status.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
+    assert sizes and max(sizes) <= limit

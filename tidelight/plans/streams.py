@@ -21,7 +21,7 @@ from tidelight.plans import inputs as i
 from tidelight.plans.catalog import Catalog
 from tidelight.plans.datasets import linear_scores_sql, pixel_weights
 from tidelight.plans.images import PIXELS, by_pixel
-from tidelight.session import settle, work_folder
+from tidelight.session import file_stream_settings, settle, work_folder
 from tidelight.sinks import compaction
 from tidelight.sinks.deposit import deposit, replay
 from tidelight.sinks.tables import append_batch, query_id
@@ -258,7 +258,8 @@ def stream_features(spark, sf_dir):
 def stream_image_files(spark, sf_dir):
     """Image files through the infer stream: each ends in predictions or in quarantine."""
     cfg = _config(spark, i.image_tree(spark, sf_dir), files_per_batch=5_000)
-    start_infer(spark, cfg, linear_model(pixel_weights())).awaitTermination()
+    with file_stream_settings(spark, cfg.max_files_per_trigger):
+        start_infer(spark, cfg, linear_model(pixel_weights())).awaitTermination()
     done = read_predictions(spark, cfg.output).select("fileName", F.lit("").alias("error"))
     return done.unionByName(read_rejected(spark, cfg.rejected).select("fileName", "error"))
 
