@@ -268,3 +268,41 @@ def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch,
     jobs = [status.getJobInfo(job) for query in begun for job in status.getJobIdsForGroup(str(query.runId))]
     sizes = [status.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds]
     assert sizes and max(sizes) <= limit
+
+
+def test_the_counted_drain_lists_with_few_tasks(spark, tmp_path, monkeypatch):
+    key, tables_at, seen = "spark.sql.sources.parallelPartitionDiscovery.parallelism", vectors_table(spark, tmp_path, 10), []
+
+    def reader(session, *options):
+        seen.append(int(session.conf.get(key)))
+        raise InterruptedError
+
+    monkeypatch.setattr(streams, "stream_reader", reader)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        with pytest.raises(InterruptedError):
+            streams.stream_metrics(spark, tables_at)
+        assert seen[0] <= 64 and spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_telemetry_that_waits_for_its_query_is_whole(spark, tmp_path):
+    """Another query's end does not count, and what a failed write left out is written by the next."""
+    listener = MetricsListener(spark, str(tmp_path / "metrics"), query_name="mine")
+    mine, other = str(uuid.uuid4()), str(uuid.uuid4())
+    event = lambda run, name: SimpleNamespace(runId=run, name=name)
+    listener.onQueryStarted(event(other, "other"))
+    listener.onQueryStarted(event(mine, "mine"))
+    listener.onQueryTerminated(event(other, None))
+    assert not listener.wait(0)
+    progress = SimpleNamespace(name="mine", batchId=0, numInputRows=3, inputRowsPerSecond=1.0, processedRowsPerSecond=1.0, durationMs={})
+    listener.onQueryProgress(SimpleNamespace(progress=progress))
+    listener._path, kept = "nowhere://x/y", listener._path
+    with pytest.raises(Exception):
+        listener.flush()
+    listener._path = kept
+    listener.onQueryTerminated(event(mine, None))
+    assert listener.wait(0)
+    assert [r.numInputRows for r in tables.metrics(spark, kept).collect()] == [3]

@@ -38,9 +38,11 @@ class MetricsListener(StreamingQueryListener):
         self._flushed = time.monotonic()
         self._lock = threading.Lock()
         self._ended = threading.Event()
+        self._followed: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if not self._query_name or event.name == self._query_name:
+            self._followed.add(str(event.runId))
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -59,10 +61,11 @@ class MetricsListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         self.flush()
-        self._ended.set()
+        if not self._query_name or str(event.runId) in self._followed:
+            self._ended.set()
 
     def wait(self, seconds: float = 60.0) -> bool:
-        """Wait until some query has ended and its rows are written."""
+        """Wait until a query that is followed has ended and its rows are written; false if that takes longer."""
         return self._ended.wait(seconds)
 
     def flush(self) -> None:
@@ -70,8 +73,13 @@ class MetricsListener(StreamingQueryListener):
             rows, self._rows = self._rows, []
             self._flushed = time.monotonic()
         if rows:
-            table = self._spark.createDataFrame(rows, schemas.METRICS)
-            table.coalesce(1).write.mode("append").option("header", "true").csv(self._path)
+            try:
+                table = self._spark.createDataFrame(rows, schemas.METRICS)
+                table.coalesce(1).write.mode("append").option("header", "true").csv(self._path)
+            except Exception:
+                with self._lock:
+                    self._rows = rows + self._rows
+                raise
 
 
 def watch(spark: SparkSession, path: str, **options) -> MetricsListener:
