@@ -251,7 +251,7 @@ def vectors_table(spark, tmp_path, count):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["stream_image_files"])
+@pytest.mark.parametrize("name", ["stream_image_files", "stream_train_tree"])
 def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch, name):
     key, tables_at = "spark.sql.sources.parallelPartitionDiscovery.parallelism", vectors_table(spark, tmp_path, 400)
     before, begun, limit = spark.conf.get(key), [], min(64, spark.sparkContext.defaultParallelism)
@@ -288,6 +288,21 @@ def test_the_counted_drain_lists_with_few_tasks(spark, tmp_path, monkeypatch):
         spark.conf.set(key, before)
 
 
+def test_a_source_log_is_not_rewritten_every_ten_batches(spark, tmp_path):
+    key = "spark.sql.streaming.fileSource.log.compactInterval"
+    put(tmp_path / "zone", **{f"f{k:02}__png": GREY["dark"] for k in range(12)})
+    cfg = config(tmp_path, max_files_per_trigger=1)
+    for more in (0, 3):
+        put(tmp_path / "zone", **{f"g{k:02}__png": GREY["dark"] for k in range(more)})
+        with file_stream_settings(spark, cfg.max_files_per_trigger):
+            start_infer(spark, cfg, MODEL).awaitTermination()
+    log = [p.name for p in (tmp_path / "checkpoint" / "sources" / "0").iterdir() if not p.name.startswith(".")]
+    assert len(log) == 15 and not [name for name in log if name.endswith(".compact")]
+    names = [r.fileName for r in tables.predictions(spark, cfg.output).collect()]
+    assert len(names) == len(set(names)) == 15  # the restart knows what was read
+    assert spark.conf.get(key) == "10"
+
+
 def test_telemetry_that_waits_for_its_query_is_whole(spark, tmp_path):
     """Another query's end does not count, and what a failed write left out is written by the next."""
     listener = MetricsListener(spark, str(tmp_path / "metrics"), query_name="mine")
