@@ -251,7 +251,7 @@ def vectors_table(spark, tmp_path, count):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["stream_image_files", "stream_train_tree", "stream_restarted"])
+@pytest.mark.parametrize("name", ["stream_image_files", "stream_restarted", "stream_train_tree", "stream_cleaned_and_bounded"])
 def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch, name):
     key, tables_at = "spark.sql.sources.parallelPartitionDiscovery.parallelism", vectors_table(spark, tmp_path, 400)
     before, begun, limit = spark.conf.get(key), [], min(64, spark.sparkContext.defaultParallelism)
