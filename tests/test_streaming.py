@@ -1,3 +1,4 @@
+import threading
 import time
 import uuid
 from pathlib import Path
@@ -270,6 +271,16 @@ def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path, monkeypatch,
     assert sizes and max(sizes) <= limit
 
 
+def test_a_bounded_run_ends_where_rows_share_a_file(spark, tmp_path):
+    rows = spark.read.parquet(f"{vectors_table(spark, tmp_path / 'once', 20)}/embeddings.parquet")
+    rows.union(rows.where("vec_id < 5")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = []
+    runner = threading.Thread(target=lambda: found.append(streams.stream_cleaned_and_bounded(spark, str(tmp_path)).first()), daemon=True)
+    runner.start()
+    runner.join(90)
+    assert [tuple(row) for row in found] == [(18, True, True)]
+
+
 def test_the_counted_drain_lists_with_few_tasks(spark, tmp_path, monkeypatch):
     key, tables_at, seen = "spark.sql.sources.parallelPartitionDiscovery.parallelism", vectors_table(spark, tmp_path, 10), []
 
