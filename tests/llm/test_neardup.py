@@ -77,6 +77,19 @@ def test_a_large_group_of_different_near_copies_is_one_class(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def test_a_bucket_of_unlike_texts_is_compared_in_tiles(spark, monkeypatch):
+    common = "one sentence that all of these texts repeat again and again. " * 14
+    texts = [common + next(variants(k, 40, 1, 0)) for k in range(140)] + [common + t for t in variants(900, 40, 6, 1)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pairs, verified = [], neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda p, *rest: pairs.append(p.count()) or verified(p, *rest))
+    monkeypatch.setattr(neardup, "BLOCK", 32, raising=False)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs, bands=8, rows=1).collect()}
+    assert got == plain_classes(rows, neardup.inverse_frequencies(docs)) and 20 < len(set(got.values()))
+    assert sum(pairs) <= 8 * len(rows)  # all pairs would be 10 585
+
+
 def test_awkward_rows(awkward, nothing):
     got = neardup.near_duplicates(awkward).collect()
     assert len(got) == awkward.count()
