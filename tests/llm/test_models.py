@@ -118,6 +118,24 @@ def test_toxicity_of_held_out_texts(spark):
     assert ((rows.score >= 0.5) == (rows.predicted == 1)).all()
 
 
+def test_a_few_toxic_words_tell_in_long_texts(spark):
+    rng = random.Random(11)
+    texts, bad = [], ["zzbad", "zzworse", "zzfoul"]
+    for k in range(500):
+        # As many new pairs of rare words as in life: each text has its own way with them.
+        words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randint(200, 900))]
+        for _ in range(2 * (k % 5 == 0)):
+            words[rng.randrange(len(words))] = rng.choice(bad)
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k in range(500)], "doc_id long, quality int, toxic int")
+    rows = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert area(rows.toxic.to_numpy(), rows.score.to_numpy()) > 0.97
+    assert (rows.predicted == rows.toxic).mean() > 0.95
+    got, _, peak = toxicity.fit(docs, labels).difference(pa.array(["zzbad w1 w2", "", None, "never-seen"]))
+    assert peak[0] > 0 and peak[1:].tolist() == [0, 0, 0] and got[1:3].tolist() == [0, 0]
+
+
 def test_labels_of_the_held_out_fold_are_not_learnt(spark):
     docs, labels = toxic_tables(spark, 200)
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0

@@ -4,15 +4,18 @@ A bigram model each of toxic and of ordinary labelled texts, with interpolated a
 distinct words before them, as the lower orders of Kneser-Ney models do, so that copies of a text count once. Both back
 off to continuation counts of their class and these to counts of all documents. Pairs and words of every count are kept; the
 discounts pass part of their mass on. Of a word that neither class holds, the shared count would be a factor of both
-likelihoods and cancels in their ratio, so only the counts of the classes' words are gathered. The score is the logistic function of the difference of
-the log-likelihoods per word; its slope and offset are fitted on labelled texts that the models have not seen.
+likelihoods and cancels in their ratio, so only the counts of the classes' words are gathered.
+
+Averaged over a text, a few toxic words drown in a long ordinary one. So a second number stands beside the difference of the
+log-likelihoods per word: the evidence of the ``PEAKS`` most toxic words of the text, by the same continuation counts, smoothed so that words
+seen once say little. The score is the logistic function of both; slopes and offset are fitted on labelled texts that the models have not seen.
 
 The models are fitted on a bounded sample: of each class equally many rows, in the order of a hash of their id, up to
 ``max_documents`` texts and ``max_bytes`` bytes of text. Counts behind the last backing-off cover all documents.
-A text needs only the difference of both classes' logarithms: one number a pair of words that the sample holds, two a word.
+A text needs only the difference of both classes' logarithms: one number a pair of words that the sample holds, three a word.
 These tables are made by joins and written to the shared folder, where the tasks read them; the driver sees a dozen sums.
 
-* Null and empty texts have no words and the score of a difference of 0. A label's ``doc_id`` may repeat: one
+* Null and empty texts have no words and the score of a difference and an evidence of 0. A label's ``doc_id`` may repeat: one
   toxic label makes a text toxic. Null labels are left out. Without labels of both classes every score is 0.5 or the share of toxic labels.
 * Repeated rows have equal scores. Other columns are never read, whatever their names. A text of any length is read whole.
 * Ties: texts are sampled by the hash of their id and then by the id. A score that rounds to a half is predicted 1.
@@ -39,6 +42,7 @@ from tidelight.session import settle, work_folder
 
 FOLDS = 5
 CALIBRATION_FOLD = 4
+PEAKS = 3  # words whose evidence counts apart from the average
 PRIOR_WORDS = 30  # words without a say that are added to each text, so that a few words alone decide little
 _START = np.uint64(1)
 _OUTER = ".,;:!?\"'()[]{}*#$%&|<>…"
@@ -88,36 +92,48 @@ def _shelve(df: DataFrame) -> str:
     return qualify(df.sparkSession, folder)
 
 
+def _peaks(owner: np.ndarray, evidence: np.ndarray, rows: int) -> np.ndarray:
+    """The sum of each text's ``PEAKS`` largest positive values."""
+    some = np.flatnonzero(evidence > 0)
+    owner, evidence = owner[some], evidence[some]
+    order = np.lexsort((-evidence, owner))
+    owner, evidence = owner[order], evidence[order]
+    kept = np.arange(len(owner)) - np.searchsorted(owner, owner) < PEAKS
+    return np.bincount(owner[kept], evidence[kept], minlength=rows).astype(np.float64)
+
+
 @dataclass(frozen=True)
 class Model:
     """Logarithms of toxic over ordinary: where the tables lie, and what holds for all words."""
 
-    words: str  # hash, ``context`` (mass that a word passes on to what follows), ``lower`` (probability without context)
+    words: str  # hash, ``context`` (mass that a word passes on to what follows), ``lower`` (probability without context), ``evidence`` (smoothed, of the word alone)
     pairs: str  # hash, ``whole`` (probability of a pair that the sample holds)
     unknown: float  # probability without context of a word that the sample does not hold
-    slope: float = 1.0
+    slopes: tuple[float, float] = (1.0, 0.0)  # of the ratio per word and of the evidence
     offset: float = 0.0
 
-    def difference(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood ratio per word (toxic over ordinary) and number of words of each text."""
-        (words, context, lower), (pairs, whole) = _shelved(self.words), _shelved(self.pairs)
+    def difference(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-likelihood ratio per word (toxic over ordinary), number of words, and evidence of the most toxic words of each text."""
+        (words, context, lower, evidence), (pairs, whole) = _shelved(self.words), _shelved(self.pairs)
         owner, hashes = word_hashes(texts)
         before = _before(owner, hashes)
         pair = _find(pairs, _pair(before, hashes))
-        apart = np.append(context, 0.0)[_find(words, before)] + np.append(lower, self.unknown)[_find(words, hashes)]
+        word = _find(words, hashes)
+        apart = np.append(context, 0.0)[_find(words, before)] + np.append(lower, self.unknown)[word]
         ratios = np.where(pair < len(pairs), np.append(whole, 0.0)[pair], apart)
         count = w.per_text(owner, None, len(texts))
         total = np.bincount(owner, ratios, minlength=len(texts)) if len(hashes) else np.zeros(len(texts))
-        return total / (count + PRIOR_WORDS), count
+        return total / (count + PRIOR_WORDS), count, _peaks(owner, np.append(evidence, 0.0)[word], len(texts))
 
     def compare(self, texts: Column) -> Column:
-        """``llr`` and ``n_words`` of each text."""
+        """``llr``, ``n_words`` and ``peak`` of each text."""
 
-        @F.arrow_udf("struct<llr:double,n_words:long>")
+        @F.arrow_udf("struct<llr:double,n_words:long,peak:double>")
         def difference(column: pa.Array) -> pa.Array:
             parts = [self.difference(part) for _, part in w.chunks(column)]
-            llr, count = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
-            return pa.StructArray.from_arrays([pa.array(llr, pa.float64()), pa.array(count, pa.int64())], ["llr", "n_words"])
+            llr, count, peak = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64), np.zeros(0))
+            columns = [pa.array(llr, pa.float64()), pa.array(count, pa.int64()), pa.array(peak, pa.float64())]
+            return pa.StructArray.from_arrays(columns, ["llr", "n_words", "peak"])
 
         return difference(texts)
 
@@ -212,7 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_byte
     rest = [flat[y] * word_sums[f"held{y}"] / word_sums[f"k{y}"] for y in classes]
     shared = (F.coalesce("n", F.lit(0)) + 0.5) / F.lit(all_words + 0.5 * (word_sums.words + 1) + 1)  # the start mark is a word
     lower = [F.greatest(F.col(f"k{y}") - flat[y], F.lit(0.0)) / word_sums[f"k{y}"] + rest[y] * shared for y in classes]
-    words = by_word.join(everywhere, "word", "left").select("word", *(lower[y].alias(f"lower{y}") for y in classes))
+    smooth = [F.ln((F.col(f"k{y}") + 1) / F.lit(float(word_sums[f"k{y}"] + word_sums.words))) for y in classes]
+    words = by_word.join(everywhere, "word", "left").select(
+        "word", *(lower[y].alias(f"lower{y}") for y in classes), (smooth[1] - smooth[0]).alias("evidence")
+    )
     sums = (F.sum(f"n{y}").alias(f"t{y}") for y in classes)
     kinds = (F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"c{y}") for y in classes)
     passed = [F.when(F.col(f"t{y}") > 0, steep[y] * F.col(f"c{y}") / F.col(f"t{y}")).otherwise(1.0).alias(f"passed{y}") for y in classes]
@@ -226,19 +245,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_byte
     )
     named = contexts.select(F.col("before").alias("word"), (F.ln("passed1") - F.ln("passed0")).alias("context"))
     both = named.join(words, "word", "full").select(
-        "word", F.coalesce("context", F.lit(0.0)).alias("context"), F.coalesce(F.ln("lower1") - F.ln("lower0"), F.lit(0.0)).alias("lower")
+        "word", F.coalesce("context", F.lit(0.0)).alias("context"), F.coalesce(F.ln("lower1") - F.ln("lower0"), F.lit(0.0)).alias("lower"),
+        F.coalesce("evidence", F.lit(0.0)).alias("evidence"),
     )
     model = Model(_shelve(both), _shelve(known_pairs), float(np.log(rest[1] / rest[0])))
 
-    known = calibrating.select("toxic", model.compare("text")["llr"].alias("llr")).toArrow()  # at most 2 max_documents numbers
-    x, y = known.column("llr").to_numpy(), known.column("toxic").to_numpy()
+    known = calibrating.select("toxic", model.compare("text").alias("c")).select("toxic", "c.llr", "c.peak").toArrow()  # at most 2 max_documents rows
+    x, y = np.stack([known.column(c).to_numpy() for c in ("llr", "peak")], 1), known.column("toxic").to_numpy()
     if len(x) and 0 < y.sum() < len(y):
         by_class = training_rows(labels).groupBy("toxic").count().collect()
         share = {row.toxic: row["count"] for row in by_class}
         weight = np.where(y == 1, share[1] / y.sum(), share[0] / (len(y) - y.sum()))
-        order = np.lexsort((x, y))  # the same sums, however the rows arrive
-        slope, offset = _calibrate(x[order], y[order], (weight / weight.mean())[order])
-        model = replace(model, slope=slope, offset=offset)
+        order = np.lexsort((*x.T, y))  # the same sums, however the rows arrive
+        slopes, offset = _calibrate(x[order], y[order], (weight / weight.mean())[order])
+        model = replace(model, slopes=slopes, offset=offset)
     return model
 
 
@@ -263,31 +283,33 @@ def _count_everywhere(docs: DataFrame, known: str) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic regression, slightly held back."""
-    middle, scale = float(x.mean()), float(x.std()) or 1.0
-    z = np.stack([(x - middle) / scale, np.ones(len(x))], 1)
-    beta = np.zeros(2)
+def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Slope of each column and offset of a logistic regression, slightly held back."""
+    middle, scale = x.mean(0), x.std(0)
+    scale[scale == 0] = 1.0
+    z = np.column_stack([(x - middle) / scale, np.ones(len(x))])
+    beta = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
         slope = z.T @ (weight * (p - y)) + 0.1 * beta
-        curve = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.1 * np.eye(2)
+        curve = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.1 * np.eye(len(beta))
         step = np.linalg.solve(curve, slope)
         beta -= step * min(1.0, 3 / (np.abs(step).max() + 1e-12))
-    return float(beta[0] / scale), float(beta[1] - beta[0] * middle / scale)
+    slopes = beta[:-1] / scale
+    return tuple(slopes.tolist()), float(beta[-1] - slopes @ middle)
 
 
 def score(docs: DataFrame, labels: DataFrame, max_documents: int = 4_000, max_bytes: int = 12_000_000) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted``, ``llr`` (per word) and ``n_words`` of every row."""
+    """``doc_id``, ``held_out``, ``score``, ``predicted``, ``llr`` (per word), ``n_words`` and ``peak`` of every row."""
     model = fit(docs, labels, max_documents, max_bytes)
     held_out = (F.pmod(crc_of_id(F.col("doc_id")), F.lit(FOLDS)) == 0).alias("held_out")
     if model is None:
         share = training_rows(labels).agg(F.coalesce(F.avg("toxic"), F.lit(0.5)).alias("share")).head().share
         return docs.select(
             "doc_id", held_out, F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
-            F.lit(0.0).alias("llr"), F.lit(None).cast("long").alias("n_words"),
+            F.lit(0.0).alias("llr"), F.lit(None).cast("long").alias("n_words"), F.lit(0.0).alias("peak"),
         )
-    odds = F.lit(model.slope) * F.col("c.llr") + F.lit(model.offset)
+    odds = F.lit(model.slopes[0]) * F.col("c.llr") + F.lit(model.slopes[1]) * F.col("c.peak") + F.lit(model.offset)
     value = (1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-30.0)), F.lit(30.0))))).alias("score")
-    scored = docs.select("doc_id", model.compare("text").alias("c")).select("doc_id", held_out, value, "c.llr", "c.n_words")
+    scored = docs.select("doc_id", model.compare("text").alias("c")).select("doc_id", held_out, value, "c.llr", "c.n_words", "c.peak")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
