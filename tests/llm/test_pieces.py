@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from tidelight.llm import pieces
@@ -81,3 +82,39 @@ def test_decoding_agrees_with_the_library():
     for text in ("the house of the rising sun", "éa 日本 x", "two  blanks\nand a line"):
         assert model.decode(pieces.encode_texts([text], PIECE_MODEL)[0].tolist()) == text
         assert pieces.decode_ids(__import__("numpy").array(model.encode(text)), PIECE_MODEL) == text
+
+
+def test_arrays_of_texts_and_ids(vocabulary):
+    texts = pa.array([None, "", " a", *samples(), "é\n", "", None, "x\n\n y  z"])
+    for part in (texts, texts.slice(3, 40), texts.slice(len(texts) - 3)):
+        ids, bounds = pieces.encode_array(part, PIECE_MODEL)
+        cut = [[n for p in best_cut(" " + text, vocabulary) for n in vocabulary.emit(p)] if text else [] for text in part.to_pylist()]
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == cut
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=part.is_null())
+        assert pieces.decode_array(lists, PIECE_MODEL).to_pylist() == part.to_pylist()
+        assert pieces.decode_array(lists.slice(1, 2), PIECE_MODEL).to_pylist() == part.to_pylist()[1:3]
+    broken = pa.array([[vocabulary.byte_ids[0xC3]] * 2, None, []], pa.list_(pa.int32()))
+    assert pieces.decode_array(broken, PIECE_MODEL).to_pylist() == ["\ufffd", None, ""]
+
+
+def test_words_are_looked_up_once_a_chunk(monkeypatch):
+    memory, seen = pieces._memory(PIECE_MODEL), []
+    monkeypatch.setattr(memory, "learn", lambda words: seen.extend(words))
+    pieces.encode_texts(["one two one two one two"] * 50, PIECE_MODEL)
+    assert sorted(seen) == [" one", " two"]
+
+
+@pytest.mark.parametrize("extra, pattern", [("", r"\n| +[^ \n]*|[^ \n]+"), ("a\nb", r" +[^ ]*|[^ ]+"), ("a b", r"(?s).+")])
+def test_cuts_by_bytes(extra, pattern):
+    import re
+
+    import numpy as np
+
+    made = {text: (n, -1.0) for n, text in enumerate(x for x in ("a", "b", " ", "\n", extra) if x)}
+    v = pieces.Vocabulary(made, list(range(10, 266)), 266)
+    for text in samples():
+        data = np.frombuffer(text.encode(), np.uint8)
+        new = v.cuts(data)
+        new[:1] = True
+        starts = np.flatnonzero(new).tolist()
+        assert [bytes(data[a:b]).decode() for a, b in zip(starts, [*starts[1:], len(data)])] == re.findall(pattern, text)

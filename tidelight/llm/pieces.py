@@ -10,8 +10,9 @@ length of the end, so when the back pointers of all those positions lead to one
 final and is handed out.
 
 Where no piece can cross (a blank after another character, both sides of a line feed), the paths converge by
-themselves, whatever the scores; texts are cut there first, so that the ids of frequent words can be remembered. Short stretches
-between such cuts that are new to a chunk of texts are searched side by side, as arrays; anything longer is streamed.
+themselves, whatever the scores; texts are cut there first, on their UTF-8 bytes, and each different word of a chunk of texts is looked up once,
+as the ids of frequent words are remembered. Short stretches between such cuts that are new are searched side by side, as arrays;
+anything longer is streamed.
 
 * A null text gives null ids, an empty text no ids. The blank U+2581 of the text itself is written as bytes, so that
   decoding gives back every text exactly.
@@ -20,12 +21,12 @@ between such cuts that are new to a chunk of texts are searched side by side, as
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,12 +59,22 @@ class Vocabulary:
             self.bytes_of[number] = text.encode()
         for value, number in enumerate(byte_ids):
             self.bytes_of[number] = bytes([value])
-        # Cuts that no piece crosses.
-        blank_inside = any(" " in text.lstrip(" ") for text in self.ids)
-        feed_joined = any("\n" in text and len(text) > 1 for text in self.ids)
-        self.cut = re.compile(
-            r"(?s).+" if blank_inside else r" +[^ ]*|[^ ]+" if feed_joined else r"\n| +[^ \n]*|[^ \n]+"
-        )
+        # Pieces that cross what would be cuts else.
+        self.blank_inside = any(" " in text.lstrip(" ") for text in self.ids)
+        self.feed_joined = any("\n" in text and len(text) > 1 for text in self.ids)
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Which bytes begin a word, apart from the first of a text: cuts that no piece crosses."""
+        new = np.zeros(len(data), bool)
+        if self.blank_inside or not len(data):
+            return new
+        blank = data == ord(" ")
+        new[1:] = blank[1:] & ~blank[:-1]
+        if not self.feed_joined:
+            feed = data == ord("\n")
+            new |= feed
+            new[1:] |= feed[:-1]
+        return new
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -138,6 +149,8 @@ def stream_pieces(text: str, vocabulary: Vocabulary) -> Iterator[tuple[int, str]
 class _Arrays:
     """The vocabulary's tree as arrays: edges by node and character, and each node's piece."""
 
+    BITS = 18
+
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.chars = np.zeros(0x110000, np.int32)  # 0: in no piece
         known = sorted({char for text in vocabulary.ids for char in text})
@@ -151,19 +164,44 @@ class _Arrays:
                 edges[at * self.width + int(self.chars[ord(char)])] = len(nodes)
                 waiting.append((len(nodes), deeper, text + char))
                 nodes.append(text + char)
-        self.keys = np.array(sorted(edges), np.int64)
-        self.targets = np.array([edges[key] for key in self.keys.tolist()], np.int64)
+        self.root = np.full(self.width, -1, np.int64)  # the nodes of single characters
+        for char, node in ((key, node) for key, node in edges.items() if key < self.width):
+            self.root[char] = node
+        # Edges in tables of one key a slot; those that find theirs taken go to the next table.
+        self.tables = []
+        keys, targets = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int64)
+        while len(keys):
+            slots, first = np.unique(self.slot(keys, len(self.tables)), return_index=True)
+            held, at = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int64)
+            held[slots], at[slots] = keys[first], targets[first]
+            self.tables.append((held, at))
+            keys, targets = np.delete(keys, first), np.delete(targets, first)
         self.scores = np.array([vocabulary.scores.get(text, np.nan) if text else np.nan for text in nodes])
         self.ids = np.array([vocabulary.ids.get(text, -1) if text else -1 for text in nodes], np.int32)
         self.single = np.zeros(self.width, bool)  # characters that are pieces themselves
         self.single[[self.chars[ord(char)] for char in known if char in vocabulary.ids]] = True
         self.longest = vocabulary.longest
 
+    def slot(self, keys: np.ndarray, table: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            spread = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * table & (1 << 64) - 1)
+        return (spread >> np.uint64(64 - self.BITS)).view(np.int64)
+
     def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The node after each character, or -1."""
         keys = nodes * self.width + chars
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.targets[at], -1)
+        out = np.full(len(keys), -1, np.int64)
+        rows = np.arange(len(keys))
+        for table, (held, targets) in enumerate(self.tables):
+            at = self.slot(keys, table)
+            there = held[at]
+            hit = there == keys
+            out[rows[hit]] = targets[at[hit]]
+            other = np.flatnonzero(~hit & (there >= 0))  # an empty slot: no such edge
+            if not len(other):
+                break
+            rows, keys = rows[other], keys[other]
+        return out
 
     def search(self, words: list[str]) -> tuple[np.ndarray, list[bytes | None]]:
         """Ids of each word's best cut, as bytes; None for words with characters that are no pieces."""
@@ -186,9 +224,8 @@ class _Arrays:
         going = len(words) - np.searchsorted(lengths[::-1], np.arange(most), side="right")  # longer than each position
         for start in range(most):
             alive = np.arange(going[start])
-            nodes = np.zeros(len(alive), np.int64)
             for end in range(start, min(most, start + self.longest)):
-                nodes = self.step(nodes, chars[alive, end])
+                nodes = self.step(nodes, chars[alive, end]) if end > start else self.root[chars[alive, end]]
                 on = nodes >= 0
                 alive, nodes = alive[on], nodes[on]
                 if not len(alive):
@@ -228,7 +265,7 @@ class _Memory(dict):
             self[word] = packed
         return packed
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         """Remember the short ones of these words."""
         new = [word for word in words if word not in self and len(word) <= REMEMBERED_LENGTH]
         if len(self) + len(new) > REMEMBERED:
@@ -252,32 +289,72 @@ def _memory(path: str) -> _Memory:
     return _Memory(_vocabulary(path))
 
 
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
+def encode_array(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and where each text's begin and the last one's end. Null texts count as empty ones."""
     memory = _memory(path)
-    parts = [memory.vocabulary.cut.findall(" " + text) if text else [] for text in texts]
-    memory.learn(set().union(*parts))
-    return [np.frombuffer(b"".join(map(memory.__getitem__, part)), np.int32) for part in parts]
+    texts = w.whole(texts)
+    texts = pc.binary_join_element_wise(pc.if_else(pc.equal(texts, ""), "", " ").cast(pa.large_string()), texts, pa.scalar("", pa.large_string()))
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    if not bounds[-1]:
+        return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[: bounds[-1]]
+    new = memory.vocabulary.cuts(data)
+    new[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    starts = np.flatnonzero(new)
+    places = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+    code, distinct = w.encode(pa.LargeStringArray.from_buffers(len(starts), places, texts.buffers()[2]))
+    words = distinct.to_pylist()
+    memory.learn(words)
+    packed = list(map(memory.__getitem__, words))
+    known = np.frombuffer(b"".join(packed), np.int32)
+    sizes = np.array(list(map(len, packed)), np.int64) // 4
+    first = np.cumsum(sizes) - sizes
+    count = sizes[code]
+    ends = np.append(0, np.cumsum(count))
+    ids = known[np.repeat(first[code] - ends[:-1], count) + np.arange(ends[-1])]
+    return ids, ends[np.searchsorted(starts, bounds)]
+
+
+def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
+    ids, bounds = encode_array(pa.array(texts, pa.large_string()), path)
+    return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+@lru_cache(2)
+def _bytes_of(path: str) -> pa.Array:
+    return pa.array(_vocabulary(path).bytes_of, pa.binary())
 
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
     return b"".join(map(_vocabulary(path).bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
+def decode_array(lists: pa.Array, path: str) -> pa.Array:
+    """The text of each list of ids, null for a null list."""
+    offsets = pa.array(lists.offsets.to_numpy())  # without those before a slice
+    parts = pa.ListArray.from_arrays(offsets, _bytes_of(path).take(lists.values), mask=lists.is_null())
+    joined = pc.binary_join(parts, b"")
+    try:
+        whole = joined.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no text
+        whole = pa.array([x if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+    return pc.utf8_slice_codeunits(whole, 1)
+
+
 def encode(docs: DataFrame, model: str, text: str = "text", to: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text in the column ``to`` (array of int)."""
 
     @F.arrow_udf("array<int>")
     def to_ids(texts: pa.Array) -> pa.Array:
-        offsets, parts, total = [0], [np.zeros(0, np.int32)], 0
+        offsets, parts, total = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)], 0
         for _, part in w.chunks(texts):
-            for ids in encode_texts([value or "" for value in part.to_pylist()], model):
-                parts.append(ids)
-                total += len(ids)
-                offsets.append(total)
-        lists = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts)), mask=texts.is_null()
+            ids, bounds = encode_array(part, model)
+            parts.append(ids)
+            offsets.append(total + bounds[1:])
+            total += len(ids)
+        return pa.ListArray.from_arrays(
+            pa.array(np.concatenate(offsets), pa.int32()), pa.array(np.concatenate(parts)), mask=texts.is_null()
         )
-        return lists
 
     return docs.withColumn(to, to_ids(F.col(text)))
 
@@ -287,11 +364,6 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", to: str = "text") -> D
 
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
-        values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        missing = lists.is_null().to_numpy(zero_copy_only=False)
-        return pa.array(
-            [None if gone else decode_ids(values[a:b], model) for gone, a, b in zip(missing, offsets, offsets[1:])],
-            pa.string(),
-        )
+        return decode_array(lists, model)
 
     return docs.withColumn(to, texts(F.col(ids)))
