@@ -92,6 +92,29 @@ def test_phrases_equal_plain_counting_whatever_the_sample(spark, awkward, nothin
     assert phrases.collocations(nothing).count() == 0
 
 
+def test_rare_phrases_are_not_shuffled_as_texts(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = [(n, rng.choice(["en", None]), " ".join(f"w{rng.randrange(40)}" for _ in range(300))) for n in range(30)]
+    rows += [(100 + n, "en", "w1 w2 w3 w4 w5 w6") for n in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    plain = plain_collocations([r[1:] for r in rows], 20, 50)
+    named, whole = [], phrases.count_phrases
+
+    def watched(docs, wanted, counted=None, among=None):
+        out = whole(docs, wanted, counted, among)
+        if counted is None:
+            named.append((out.where("n < 20").count(), whole(docs, wanted).where("n < 20").count()))
+        return out
+
+    monkeypatch.setattr(phrases, "count_phrases", watched)
+    assert sorted(tuple(r) for r in phrases.collocations(docs, min_count=20, top=50, map_bits=20).collect()) == plain
+    # Keys of few bits, which many phrases share, change no result.
+    monkeypatch.setattr(phrases, "_short", lambda keys: keys >> phrases.np.uint64(58))
+    assert sorted(tuple(r) for r in phrases.collocations(docs, min_count=20, top=50, map_bits=20).collect()) == plain
+    (rare, all_rare), (rare_shared, _) = named
+    assert rare * 20 < all_rare and rare_shared > rare
+
+
 def test_phrase_scores_beyond_64_bits(spark):
     """The decimal expression of the score, at counts that no test table has."""
     wide = "cast(cast({} AS decimal(19, 0)) * cast({} AS decimal(19, 0)) AS decimal(38, 0))".format

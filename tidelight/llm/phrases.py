@@ -4,7 +4,9 @@
 2. A sample of short stretches of text proposes frequent phrases, level by level, at a support lowered for the sample's chance.
    Stretches are drawn one by one: a phrase that one long text or a group of copies repeats is as likely to be proposed as any other.
 3. A full pass counts every phrase whose first and whose last words but one are both proposed (or frequent words). That is
-   the proposed phrases and their negative border, as far as it occurs; the border is never enumerated.
+   the proposed phrases and their negative border, as far as it occurs; the border is never enumerated. Most of the border is rare, so
+   this pass sends ``SHORT`` bits of a phrase's key and its count instead of the phrase. Keys that are not frequent hold no frequent phrase;
+   a further pass counts the phrases of the others by their text, so phrases that share a key are told apart.
 4. A frequent phrase of the border is a failure: longer phrases around it were not counted. Then the failures join the
    proposals and an expansion pass counts what has become possible and was not counted. It takes all that it counts for frequent
    when it looks at the next length, so one such pass closes all lengths.
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelight.llm import words as w
-from tidelight.llm.grams import byte_classes, chain, cut_words, pieces_of_texts, seeded
+from tidelight.llm.grams import Words, byte_classes, chain, cut_words, pieces_of_texts, seeded
 from tidelight.llm.tables import arrow_batches
 from tidelight.session import settle
 
 LONGEST = 5
 CHUNK = 1 << 19
 STRETCH = 32
+SHORT = 40
 PIECES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 
 
@@ -139,54 +143,103 @@ def count_words(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None, only: int | None = None) -> DataFrame:
+def _short(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - SHORT)
+
+
+@dataclass
+class _Runs:
+    """The different runs of ``size`` words of a chunk of texts that a pass counts."""
+
+    size: int
+    keys: np.ndarray
+    counts: np.ndarray
+    first: np.ndarray  # where a run of each key begins
+    words: Words
+    langs: pa.Array  # of each text
+
+    def names(self, chosen: np.ndarray) -> pa.Array:
+        """Language, tabulator and phrase of some of the runs."""
+        first, distinct = self.first[chosen], self.words.distinct
+        parts = [distinct.take(pa.array(self.words.code[first + step])) for step in range(self.size)]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+        lang = self.langs.take(pa.array(self.words.owner[first])).cast(pa.large_string())
+        return pc.binary_join_element_wise(lang, phrase, pa.scalar("\t", pa.large_string())).cast(pa.string())
+
+
+def _runs_of(batches: Iterator[pa.RecordBatch], new: KeyMap, old: KeyMap | None, only: int | None) -> Iterator[_Runs]:
+    """The runs whose two parts but one word are in ``new``.
+
+    Those that an earlier pass with the map ``old`` counted are left out, and all others are taken for wanted too at the
+    next length. ``only`` is a single length.
+    """
+    for batch, part in pieces_of_texts(batches, "text", CHUNK):
+        words, _, _, hashes, keys = _levels(batch.column("lang"), part)
+        at = np.arange(len(words))
+        held, before = new.has(keys), old.has(keys) if old else None
+        for k in range(2, min(only or LONGEST, len(words)) + 1):
+            # Runs of k - 1 words are held at ``at``; those of which the next is held too go on.
+            here = np.flatnonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])
+            end = at[here] + k - 1
+            same = words.piece[end] == words.piece[at[here]]
+            here, end = here[same], end[same]
+            if not len(here):
+                break
+            keys_k = chain(keys[here], hashes[end])
+            fresh = np.ones(len(here), bool)
+            if old:
+                fresh = ~(before[here] & before[here + 1])
+                before = old.has(keys_k) & ~fresh  # a false hit of what was not counted does not count
+            places = at[here]
+            held_k = new.has(keys_k)
+            if old:
+                held_k |= fresh
+            if fresh.any() and only in (None, k):
+                chosen = np.flatnonzero(fresh)
+                first, counts = _tally(keys_k[chosen])
+                yield _Runs(k, keys_k[chosen[first]], counts, places[chosen[first]], words, batch.column("lang"))
+            at, keys, held = places, keys_k, held_k
+        pa.default_memory_pool().release_unused()
+
+
+def count_keys(docs: DataFrame, wanted: KeyMap, only: int | None = None, short: bool = False) -> DataFrame:
+    """``key`` and ``n`` of the phrases whose two parts but one word are ``wanted``, by whole or short keys."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs in _runs_of(batches, shared.value, None, only):
+            keys = _short(runs.keys) if short else runs.keys
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(runs.counts.astype(np.int64))], names=["key", "n"])
+
+    return _language(docs).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def count_phrases(docs: DataFrame, wanted: KeyMap, counted: KeyMap | None = None, among: KeyMap | None = None) -> DataFrame:
     """``lang``, ``phrase`` and ``n`` of the phrases whose two parts but one word are ``wanted``.
 
     Those that an earlier pass with the map ``counted`` counted are left out, and all others are taken for wanted too at the
-    next length. ``only`` is a single length.
+    next length. ``among`` holds the spread short keys of all phrases that matter, if known.
     """
-    maps = docs.sparkSession.sparkContext.broadcast((wanted, counted))
+    maps = docs.sparkSession.sparkContext.broadcast((wanted, counted, among))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, old = maps.value
-        for batch, part in pieces_of_texts(batches, "text", CHUNK):
-            words, langs, names, hashes, keys = _levels(batch.column("lang"), part)
-            at = np.arange(len(words))
-            held, before = new.has(keys), old.has(keys) if old else None
-            for k in range(2, min(only or LONGEST, len(words)) + 1):
-                # Runs of k - 1 words are held at ``at``; those of which the next is held too go on.
-                here = np.flatnonzero((at[1:] == at[:-1] + 1) & held[1:] & held[:-1])
-                end = at[here] + k - 1
-                same = words.piece[end] == words.piece[at[here]]
-                here, end = here[same], end[same]
-                if not len(here):
-                    break
-                keys_k = chain(keys[here], hashes[end])
-                fresh = np.ones(len(here), bool)
-                if old:
-                    fresh = ~(before[here] & before[here + 1])
-                    before = old.has(keys_k) & ~fresh  # a false hit of what was not counted does not count
-                places = at[here]
-                held_k = new.has(keys_k)
-                if old:
-                    held_k |= fresh
-                if fresh.any() and only in (None, k):
-                    chosen = np.flatnonzero(fresh)
-                    first, counts = _tally(keys_k[chosen])
-                    first = chosen[first]
-                    parts = [words.distinct.take(pa.array(words.code[places[first] + step])) for step in range(k)]
-                    phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-                    lang = names.take(pa.array(langs[words.owner[places[first]]])).cast(pa.large_string())
-                    named = pc.binary_join_element_wise(lang, phrase, pa.scalar("\t", pa.large_string())).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([named, pa.array(counts.astype(np.int64))], names=["named", "n"])
-                at, keys, held = places, keys_k, held_k
-            pa.default_memory_pool().release_unused()
+        new, old, named = maps.value
+        for runs in _runs_of(batches, new, old, None):
+            chosen = np.flatnonzero(named.has(w.mix(_short(runs.keys)))) if named else np.arange(len(runs.keys))
+            if len(chosen):
+                columns = [runs.names(chosen), pa.array(runs.counts[chosen].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["named", "n"])
 
     # One text of language, tabulator and phrase (which holds none) is a narrower key than two columns.
     found = _language(docs).mapInArrow(count, "named string, n long").groupBy("named").agg(F.sum("n").alias("n"))
     return found.select(F.expr("regexp_extract(named, '(?s)^(.*)\t', 1)").alias("lang"), F.substring_index("named", "\t", -1).alias("phrase"), "n")
 
 
+@F.arrow_udf(T.LongType())
+def _spread(keys: pa.Array) -> pa.Array:
+    return pa.array(w.mix(keys.to_numpy().view(np.uint64)).view(np.int64))
+
+
 @F.arrow_udf(T.LongType())
 def _phrase_key(langs: pa.Array, phrases: pa.Array) -> pa.Array:
     words, _, _, hashes, keys = _levels(langs, phrases)
@@ -223,7 +276,7 @@ def frequent_phrases(
     docs: DataFrame, min_count: int = 100, share: int = 6, slack: float = 3.0, map_bits: int = 26
 ) -> tuple[DataFrame, DataFrame, int]:
     """All phrases of up to ``LONGEST`` words that occur ``min_count`` times or more, the words per language, and the
-    number of passes over all texts that counted phrases.
+    number of times that phrases were counted: 1, or 2 with an expansion pass.
 
     The first has ``lang``, ``phrase``, ``n`` and ``k``, the number of words. The sample is one in ``share`` stretches; ``slack`` is
     by how many standard deviations its support is lowered.
@@ -240,11 +293,12 @@ def _mine(docs: DataFrame, min_count: int, share: int, slack: float, map_bits: i
     sample = settle(sample_stretches(docs, share))
     support = sample_support(min_count, 1 / share, slack)
     for k in range(2, LONGEST):  # what a proposal of the last level would add to the count is its border's
-        proposed = settle(count_phrases(sample, known, only=k).where(F.col("n") >= support).select("lang", "phrase"))
+        proposed = settle(count_keys(sample, known, only=k).where(F.col("n") >= support).select("key"))
         if proposed.isEmpty():
             break
-        known = known.joined_by(_keys(proposed))
-    found = settle(count_phrases(docs, known).where(F.col("n") >= min_count))
+        known = known.joined_by(proposed)
+    frequent = settle(count_keys(docs, known, short=True).where(F.col("n") >= min_count).select(_spread("key").alias("key")))
+    found = settle(count_phrases(docs, known, among=KeyMap(map_bits).joined_by(frequent)).where(F.col("n") >= min_count))
     every, passes = single.unionByName(found), 1
     failures = _not_in(found.where(F.size(F.split("phrase", " ")) < LONGEST), known)
     if not failures.isEmpty():
