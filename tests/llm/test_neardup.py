@@ -205,6 +205,40 @@ def test_every_occurrence_in_a_text_is_reported(spark):
     assert places == {(k, text.index(passage)) for k, text in texts.items()} | {(2, second)}
 
 
+@pytest.mark.parametrize("big", [512, 16])
+def test_a_short_line_in_many_contexts_is_not_compared_in_vain(spark, monkeypatch, big):
+    # Pairs of near copies, each in a context of its own, and one line of 26 words that all texts hold.
+    (line,) = variants(90, 26, 1, 0)
+    rows = []
+    for k in range(40):
+        before, after = next(variants(20_000 + k, 60, 1, 0)), next(variants(30_000 + k, 60, 1, 0))
+        rows += [(2 * k, f"{before} {line} {after}"), (2 * k + 1, f"{before} {line} {after} changed {k}")]
+    compared, verified = [], passages._verified
+
+    def counted(regions, *rest):
+        compared.append(regions.count())
+        return verified(regions, *rest)
+
+    monkeypatch.setattr(passages, "_verified", counted)
+    monkeypatch.setattr(passages, "BIG", big, raising=False)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in got} == {frozenset((2 * k, 2 * k + 1)) for k in range(40)}
+    assert sum(compared) < 500, compared
+
+
+def test_similar_stretches_share_one_of_their_first_tokens():
+    rng = np.random.default_rng(5)
+    late = rng.integers(1, 2**63, 500, dtype=np.uint64)
+    for _ in range(200):
+        shared = rng.choice(late, 37, replace=False) if rng.random() < 0.3 else rng.integers(1, 2**63, 37, dtype=np.uint64)
+        zones = []
+        for _ in range(2):
+            zone = np.concatenate([shared, rng.integers(1, 2**63, 54, dtype=np.uint64)])
+            zone[:46] = rng.permutation(zone[:46])
+            zones.append(passages.first_of_stretches(zone, late, 46, 10))
+        assert len(np.intersect1d(*zones))
+
+
 def test_both_runs_with_more_occurrences_on_either_side():
     once = np.arange(100, 160).astype(np.uint64)
     twice = np.concatenate([once, np.arange(1_000, 1_030).astype(np.uint64), once])
@@ -212,6 +246,21 @@ def test_both_runs_with_more_occurrences_on_either_side():
     assert {x[:4] for x in passages.both_runs(twice, once, 46, 0.8)} == {(0, 59, 0, 59), (90, 149, 0, 59)}
 
 
+def test_runs_of_different_tokens_are_those_of_the_general_way(monkeypatch):
+    rng = np.random.default_rng(8)
+    pairs = []
+    for _ in range(60):
+        mine = rng.choice(5_000, rng.integers(50, 300), replace=False).astype(np.uint64)
+        yours = mine.copy()
+        for at in rng.integers(0, len(mine), rng.integers(0, 9)):
+            yours[at : at + 5] = rng.integers(10_000, 2**40, len(yours[at : at + 5]))
+        cut = int(rng.integers(0, len(yours)))
+        pairs.append((mine, np.concatenate([yours[cut:], rng.integers(10_000, 2**40, 20).astype(np.uint64), yours[:cut]])))
+    fast = [passages.both_runs(a, b, 46, 0.8) for a, b in pairs]
+    monkeypatch.setattr(passages, "_all_differ", lambda values: False)
+    assert fast == [passages.both_runs(a, b, 46, 0.8) for a, b in pairs] and sum(map(bool, fast)) > 20
+
+
 def test_a_star_of_edits_that_are_similar_to_the_base_only(spark, monkeypatch):
     # One bucket of all texts, so that only the choice of pairs counts.
     def one_bucket(owner, hashes, weights, count):
