@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelight.llm import lines, mixing, neardup, pieces, quality
 from tidelight.llm.queries import DOMAIN_WEIGHTS, PIECE_MODEL, label_domain
-from tidelight.llm.tables import table
+from tidelight.llm.tables import SMALL_BATCH, arrow_batches, table
 from tidelight.session import settle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or come from a rejected host go."""
-    return quality.keep_documents(docs)
+    with arrow_batches(spark, SMALL_BATCH):
+        return quality.keep_documents(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays, the one of the smallest id."""
-    return neardup.keep_first(docs)
+    with arrow_batches(spark, SMALL_BATCH):
+        return neardup.keep_first(docs)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidelight.llm import pieces, quality
+from tidelight.llm import mixing, pieces, quality
 from tidelight.session import settle
 
 
@@ -39,3 +41,22 @@ def test_the_registered_queries(spark):
     names = list(driver.queries())
     assert "pipeline" in names and [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
     assert set(driver.oracle_sql()) <= set(names)
+
+
+def test_mixing_sends_small_batches_to_python(spark, sf_dir, monkeypatch):
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 8000)").alias("text"))
+
+    def sizes(docs, classifier):
+        @F.arrow_udf("struct<n_words: long, posterior: array<double>>")
+        def size(texts: pa.Array) -> pa.Array:
+            return pa.array([{"n_words": texts.nbytes, "posterior": [1.0, 0.0, 0.0]}] * len(texts), pa.struct({"n_words": pa.int64(), "posterior": pa.list_(pa.float64())}))
+
+        return size(F.col("text"))
+
+    seen = []
+    monkeypatch.setattr(mixing, "posterior_column", sizes)
+    monkeypatch.setattr(mixing, "solve_rates", lambda known, *_: (seen.extend(r.n_words for r in known.collect()), ([], {}))[1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    out = dict(corpus_pipeline.STAGES)["mix_to_targets"](spark, docs, sf_dir)
+    assert len(seen) == 300 and 0 < max(seen) < 6_000_000 and out.count() == 300
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

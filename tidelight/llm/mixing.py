@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelight.llm import words as w
-from tidelight.llm.tables import crc_of_id, fresh
+from tidelight.llm.tables import SMALL_BATCH, arrow_batches, crc_of_id, fresh
 from tidelight.session import settle
 
 CELLS = 1 << 18
@@ -243,8 +243,9 @@ def fit_rates(
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``posterior`` (map by domain), ``rate`` and ``copies`` (a whole draw of the rate)."""
     domains = list(weights)
-    classifier = fit_classifier(docs, labels, domain, domains)
-    known = settle(docs.select("doc_id", posterior_column(docs, classifier).alias("c")).select("doc_id", "c.n_words", "c.posterior"))
+    with arrow_batches(docs.sparkSession, SMALL_BATCH):
+        classifier = fit_classifier(docs, labels, domain, domains)
+        known = settle(docs.select("doc_id", posterior_column(docs, classifier).alias("c")).select("doc_id", "c.n_words", "c.posterior"))
     slopes, _ = solve_rates(known, domains, weights, budget, max_rate)
     rate = rate_column(F.col("posterior"), F.col("n_words"), slopes, max_rate)
     rated = known.withColumn("rate", rate)
@@ -260,13 +261,14 @@ def mix_documents(
 ) -> DataFrame:
     """``docs`` with each row as often as its rate says (a row of the rate 0.3 stays with probability 0.3)."""
     domains = list(weights)
-    classifier = fit_classifier(docs, labels, domain, domains)
-    predicted = posterior_column(docs, classifier)
-    known = settle(docs.select(predicted.alias("c")).select("c.n_words", "c.posterior"))
-    slopes, _ = solve_rates(known, domains, weights, budget, max_rate)
     c, n = fresh(docs, "_c"), fresh(docs, "_n")
+    with arrow_batches(docs.sparkSession, SMALL_BATCH):
+        classifier = fit_classifier(docs, labels, domain, domains)
+        # Written with the documents: the posteriors are found once, and in small batches, whoever reads the result.
+        known = settle(docs.withColumn(c, posterior_column(docs, classifier)))
+    slopes, _ = solve_rates(known.select(F.col(c)["n_words"].alias("n_words"), F.col(c)["posterior"].alias("posterior")), domains, weights, budget, max_rate)
     rate = rate_column(F.col(c)["posterior"], F.col(c)["n_words"], slopes, max_rate)
-    out = docs.withColumn(c, predicted).withColumn(n, _copies(rate, "doc_id")).where(F.col(n) > 0)
+    out = known.withColumn(n, _copies(rate, "doc_id")).where(F.col(n) > 0)
     again = fresh(out, "_again")
     out = out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(n)))) if max_rate is None or max_rate > 1 else out
     return out.select(*(F.col(f"`{name}`") for name in docs.columns))
