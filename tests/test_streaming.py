@@ -332,3 +332,19 @@ def test_telemetry_that_waits_for_its_query_is_whole(spark, tmp_path):
     listener.onQueryTerminated(event(mine, None))
     assert listener.wait(0)
     assert [r.numInputRows for r in tables.metrics(spark, kept).collect()] == [3]
+
+
+def test_files_of_a_small_batch_in_a_local_folder_are_looked_up_without_a_job(spark, tmp_path):
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(key)
+    zone = tmp_path / "zone" / "train" / "NORMAL"
+    put(zone, **{f"g{k:02}__png": GREY["dark"] for k in range(80)})
+    cfg = config(tmp_path, max_files_per_trigger=40)
+    with file_stream_settings(spark, cfg.max_files_per_trigger, cfg.incoming):
+        query = start_train(spark, cfg)
+        query.awaitTermination()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))) == 2 * 2  # two writes a batch
+    assert tables.features(spark, cfg.output).count() == 80 and spark.conf.get(key) == before
+    for many in (0, 5_000):
+        with file_stream_settings(spark, many, cfg.incoming):
+            assert spark.conf.get(key) == before
