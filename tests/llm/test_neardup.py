@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tidelight import session
 from tidelight.llm import neardup, passages
 from tidelight.llm import words as w
 from tidelight.llm.components import components
@@ -282,3 +283,41 @@ def test_a_star_of_edits_that_are_similar_to_the_base_only(spark, monkeypatch):
     assert all(neardup.weighted_jaccard(weighed[500], other) >= 0.8 for other in weighed.values())
     assert sum(neardup.weighted_jaccard(weighed[0], other) >= 0.8 for other in weighed.values()) < 500
     assert {r.class_id for r in neardup.near_duplicates(docs).collect()} == {0}
+
+
+def test_many_pairs_at_once_give_the_runs_of_each():
+    rng = np.random.default_rng(3)
+    pairs = []
+    for k in range(400):
+        mine = rng.choice(2**39, rng.integers(40, 260), replace=False).astype(np.uint64)
+        yours = mine.copy()
+        for at in rng.integers(0, len(mine), rng.integers(0, 9)):
+            yours[at : at + 5] = rng.integers(2**39, 2**40, len(yours[at : at + 5]))
+        cut, more = int(rng.integers(0, len(mine))), rng.integers(1, 2**40, rng.integers(1, 20)).astype(np.uint64)
+        yours = [yours, np.concatenate([yours[cut:], more, yours[:cut]]), np.concatenate([yours[:cut], more, yours[cut:]]), np.tile(yours, 2), yours[:0]][k % 5]
+        pairs.append((mine, yours) if rng.random() < 0.8 else (yours, mine))
+    sides = [np.concatenate(x) for x in zip(*pairs)]
+    begins = [np.concatenate([[0], np.cumsum([len(pair[side]) for pair in pairs])]) for side in (0, 1)]
+    got = [set() for _ in pairs]
+    for row, *run in zip(*(x.tolist() for x in passages.runs_of_pairs(sides[0], begins[0], sides[1], begins[1], 46, 0.8))):
+        got[row].add(tuple(run))
+    assert got == [set(passages.both_runs(a, b, 46, 0.8)) for a, b in pairs] and sum(map(len, got)) > 200
+
+
+def test_tables_of_the_rounds_are_removed(spark, tmp_path, monkeypatch):
+    # A token whose first and last text do not hold the passage, so that there are several rounds.
+    (passage,) = variants(70, 60, 1, 0)
+    texts = {k: " ".join([next(variants(80 + k, 90, 1, 0)), passage, next(variants(180 + k, 90, 1, 0))]) for k in (50, 51)}
+    for k in (1, 999):
+        parts = [" ".join([next(variants(3_000 + 100 * k + at, 60, 1, 0)), *passage.split(" ")[at : at + 12]]) for at in range(0, 56, 4)]
+        texts[k] = " ".join([*parts, next(variants(9_000 + k, 60, 1, 0))])
+    monkeypatch.setattr(session, "_shared_folder", lambda spark: str(tmp_path))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    got = passages.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert len(list(tmp_path.iterdir())) == 2  # the runs, and where they lie in the texts
+    assert {frozenset((r.doc_id, r.other_id)) for r in got.collect()} == {frozenset((50, 51))} and spark.conf.get(key) == before
+    with pytest.raises(ValueError):
+        spark.range(1).write.parquet(f"{tmp_path}/given")
+        session.discard(spark.read.parquet(f"{tmp_path}/given"))
+    assert spark.read.parquet(f"{tmp_path}/given").count() == 1
