@@ -1,3 +1,4 @@
+import inspect
 import random
 
 import numpy as np
@@ -304,6 +305,50 @@ def test_many_pairs_at_once_give_the_runs_of_each():
     assert got == [set(passages.both_runs(a, b, 46, 0.8)) for a, b in pairs] and sum(map(len, got)) > 200
 
 
+def test_the_zones_of_a_passage_share_what_it_cannot_lack():
+    missing, off = passages.lacking(46, 0.8)
+    rng, seen = np.random.default_rng(6), 0
+    while seen < 300:
+        mine = rng.choice(2**40, rng.integers(46, 77), replace=False).astype(np.uint64)
+        yours = mine.copy()
+        for _ in range(rng.integers(1, 3)):  # words that are changed, left out or added in the middle
+            at, add = int(rng.integers(len(mine) // 3, len(mine) // 3 * 2)), rng.integers(2**40, 2**41, rng.integers(1, 13)).astype(np.uint64)
+            yours = np.concatenate([yours[:at], add, yours[at + rng.integers(0, 10) :]])
+        runs = passages.matching_runs(mine, yours, 46, 0.8)
+        if not runs or runs[0][0] > 0 or runs[0][1] < len(mine) - 1:
+            continue
+        token = int(rng.integers(0, len(mine)))
+        key = int(mine[token])
+        if key not in yours:
+            continue
+        seen += 1
+        zones = [passages._zone(x, x.astype(np.int64), key, 0, len(x) - 1, 46, off - missing)[0] for x in (mine, yours)]
+        assert len(np.intersect1d(*zones)) >= 46 - missing
+
+
+def test_two_of_the_functions_agree_on_nearly_all_passages_of_least_similarity():
+    options = {name: p.default for name, p in inspect.signature(passages.repeated_passages).parameters.items()}
+    functions, enough = options["functions"], options["enough"]
+    rng, agree = np.random.default_rng(11), []
+    for _ in range(3_000):
+        both = rng.integers(1, 2**40, 46).astype(np.uint64)
+        mine, yours = both, both.copy()
+        at = int(rng.integers(0, 42))
+        yours[at : at + 5] = rng.integers(1, 2**40, 5)  # 41 of 51 tokens
+        least = [[passages._hashed(x, f).min() for f in range(functions)] for x in (mine, yours)]
+        agree.append(sum(a == b for a, b in zip(*least)) >= enough)
+    assert np.mean(agree) >= 0.99
+
+
+def test_texts_meet_the_same_pivots_under_every_token(spark):
+    rows = [(f, key, doc, 10 * doc + 7 * f, 10 * doc + 7 * f + 60, True, 0) for f, key in ((0, 5), (1, -3), (2, 9)) for doc in range(100)]
+    held = spark.createDataFrame(rows, f"{passages._WINDOW}, open boolean, sub long")
+    chosen = {}
+    for r in passages._pivots(held, 1).collect():
+        chosen.setdefault(r.f, set()).add(r.doc)
+    assert chosen[0] == chosen[1] == chosen[2] and 2 <= len(chosen[0]) <= passages.SPREAD
+
+
 def test_tables_of_the_rounds_are_removed(spark, tmp_path, monkeypatch):
     # A token whose first and last text do not hold the passage, so that there are several rounds.
     (passage,) = variants(70, 60, 1, 0)
